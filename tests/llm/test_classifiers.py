@@ -17,14 +17,14 @@ def test_toxicity_held_out(spark):
 
 
 def test_toxicity_of_awkward_rows(docs, rows, empty):
-    model = toxicity.fit([b"you are a horrid fool %d and more words" % i for i in range(60)], [b"you are a kind soul %d and more words" % i for i in range(60)])
+    model = toxicity.fit([b"you are a%d horrid fool%d and more words" % (i, i) for i in range(200)], [b"you are a%d kind soul%d and more words" % (i, i) for i in range(200)])
     out = toxicity.score(docs, model).collect()
     assert len(out) == len(rows) and all(0 <= r.score <= 1 for r in out)
     assert toxicity.score(empty, model).count() == 0
     kept = toxicity.keep_clean(docs, model)
     assert kept.schema == docs.schema and kept.count() == sum(r.predicted == 0 for r in out)
     s = toxicity.Savings(model)
-    assert model.probability(toxicity._features(__import__("numpy").array([s.top_two(b"what a horrid day")])))[0] > 0.5
+    assert model.probability(toxicity._features(__import__("numpy").array([s.top_two(b"what a horrid foolish day")])))[0] > 0.5
     for only in (([], []), ([b"a"], []), ([], [b"a"])):
         assert {r.predicted for r in toxicity.score(docs, toxicity.fit(*only)).collect()} == {int(bool(only[0]))}
 

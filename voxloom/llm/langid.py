@@ -42,7 +42,7 @@ class Model:
         out = []
         for content in self.contents.values():
             d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
-            p = z.ZstdCompressionParameters(window_log=17, chain_log=14, hash_log=15, search_log=3, min_match=4, target_length=16, strategy=z.STRATEGY_GREEDY, write_content_size=0, write_dict_id=0)
+            p = z.ZstdCompressionParameters(window_log=17, chain_log=16, hash_log=15, search_log=5, min_match=3, target_length=64, strategy=z.STRATEGY_BTLAZY2, write_content_size=0, write_dict_id=0)
             d.precompute_compress(compression_params=p)
             out.append(z.ZstdCompressor(dict_data=d, compression_params=p).compress)
         return out
@@ -52,7 +52,7 @@ def fit(samples: dict[str, list[bytes]]) -> Model:
     """A dictionary per language from its texts in the given order, each giving a like share until DICTIONARY_BYTES are full."""
     contents = {}
     for lang in sorted(samples):
-        texts = [t.lower() for t in samples[lang] if t.strip()]
+        texts = [t.decode("utf-8", "replace").lower().encode() for t in samples[lang] if t.strip()]
         share = max(256, DICTIONARY_BYTES // max(1, len(texts)))
         contents[lang] = b"\n".join(t[:share] for t in texts)[:DICTIONARY_BYTES] or b" " * 8
     return Model(contents)
@@ -95,10 +95,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "do
         for batch in batches:
             lang, value, margin = [], [], []
             for raw in batch.column("_t").to_pylist():
-                if not names or not _LETTER(raw.decode("utf-8", "replace")):
+                text = raw.decode("utf-8", "replace")
+                if not names or not _LETTER(text):
                     lang.append(UNKNOWN), value.append(0.0), margin.append(0.0)
                     continue
-                parts = pieces(raw.lower())
+                parts = pieces(text.lower().encode())
                 total = np.array([sum(len(c(p)) for p in parts) for c in compress], dtype=float)
                 best = int(total.argmin())
                 odds = np.exp(-(total - total[best]) / len(parts) / TEMPERATURE)
