@@ -41,7 +41,8 @@ def speech(audio: DataFrame, vad: providers.Vad) -> DataFrame:
 
 
 def segment_audio(audio: DataFrame, vad: providers.Vad, min_duration: float = 5.0) -> DataFrame:
-    """``key, samples, rate, duration``: clips of grouped speech of ``path, samples, rate``."""
+    """``key, name, samples, rate, duration``: clips of grouped speech of ``path, samples, rate``, numbered from 1."""
+    from os.path import basename, splitext
 
     def run(batches):
         for b in batches:
@@ -52,12 +53,12 @@ def segment_audio(audio: DataFrame, vad: providers.Vad, min_duration: float = 5.
                 for i, (a, e) in enumerate(found):
                     first = a if first is None else first
                     if (e - first) / r >= min_duration or i == len(found) - 1:
-                        rows.append((f"{path}_{n:03d}", x[first:e], r, (e - first) / r))
+                        rows.append((f"{path}#{n}", f"{splitext(basename(path))[0]}_{n:03d}.wav", x[first:e], r, (e - first) / r))
                         first, n = None, n + 1
-            columns = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.list_(pa.float32()), pa.int32(), pa.float64()))], ["key", "samples", "rate", "duration"])
+            columns = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.list_(pa.float32()), pa.int32(), pa.float64()))], ["key", "name", "samples", "rate", "duration"])
 
-    return audio.where("samples is not null").select("path", "samples", "rate").mapInArrow(run, "key string, samples array<float>, rate int, duration double")
+    return audio.where("samples is not null").select("path", "samples", "rate").mapInArrow(run, "key string, name string, samples array<float>, rate int, duration double")
 
 
 def diarize(audio: DataFrame, model: providers.Diarizer, chunk: float = 300.0) -> DataFrame:
@@ -133,7 +134,7 @@ def build_dataset(spark: SparkSession, folder: str, model: providers.Diarizer |
         rows = found.select(F.format_string("%s_sample_%05d.wav", stem("file"), "sample").alias("audio"), "text", F.lit("").alias("speaker"), "duration", none.alias("voice_prompts"))
     else:
         clips = segment_audio(audio, vad or providers.EnergyVad())
-        rows = clips.join(transcribe(clips, asr), "key").select(F.concat(stem("key"), F.lit(".wav")).alias("audio"), "text", F.lit("").alias("speaker"), "duration", none.alias("voice_prompts"))
+        rows = clips.join(transcribe(clips, asr), "key").select(F.col("name").alias("audio"), "text", F.lit("").alias("speaker"), "duration", none.alias("voice_prompts"))
     return samples.items(rows)
 
 
