@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one Arrow batch may carry to a Python worker.
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 8 << 20
 #: Stands for a null doc_id in internal keys.
 NULL_ID = -(1 << 63)
 

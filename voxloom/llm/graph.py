@@ -9,7 +9,7 @@ from .common import drop, store
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
-    """Each edge once, larger end first; loops go."""
+    """Each edge once, the larger end first; loops go."""
     return edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
@@ -17,7 +17,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
     out = both.join(low, both.a == low.u).where(F.col("b") > F.col("u"))
-    return _oriented(out.select(F.col("b").alias("a"), F.col("m").alias("b")))
+    return out.select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from .graph import components
 
 SEED = 42
 #: Fingerprints that share a key and are compared with one another at most.
-BUCKET_LIMIT = 64
+BUCKET_LIMIT = 256
 #: Hashes that are counted at a time.
 SLICE = 1 << 18
 
@@ -149,7 +149,7 @@ def _links(distance: int, spanning: bool):
 def close_links(fps: DataFrame, distance: int, n_blocks: int, spanning: bool = True, bucket_limit: int = BUCKET_LIMIT, label: str = "fp") -> DataFrame:
     """Links ``a``, ``b`` between fingerprints that differ in at most ``distance`` bits, by pigeonhole blocks.
 
-    fps: distinct ``fp``, and a ``label`` where not spanning.  spanning: within
+    fps: distinct ``fp``, each with a ``label`` where not spanning.  spanning: within
     each key only as many links as connect its fingerprints, which keeps their
     number in proportion to the fingerprints; otherwise every link between
     fingerprints of different labels.
