@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, free_name, keyed, real_id, release, store
+from .common import drop, free_name, keyed, real_id, store
 from .graph import components
 from .simhash import close_links
 
@@ -116,12 +116,10 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: i
 
 def repeated_lines(docs: DataFrame, min_words: int, similarity: int, distance: int, n_blocks: int) -> DataFrame:
     """``d``, ``k``, ``gone`` (numbers of lines) of keyed documents that lose lines."""
-    spark = docs.sparkSession
     lines = store(docs.mapInArrow(_line_rows(min_words), "d long, k long, line int, h1 long, h2 long, fp long"), "lines")
     nodes = store(lines.groupBy("h1", "h2").agg(F.min("fp").alias("fp"), F.min(F.struct("d", "k", "line")).alias("first"), F.count("*").alias("n")), "lines-node")
     fps = store(nodes.groupBy("fp").agg(F.min("h1").alias("rep"), F.count("*").alias("lines")), "lines-fp")
     links = store(close_links(fps.select("fp"), distance, n_blocks, True, label="lines"), "lines-link").distinct()
-    release(spark)
     crowded = fps.where("lines > 1")
     ra, rb = fps.select(F.col("fp").alias("a"), F.col("rep").alias("x")), fps.select(F.col("fp").alias("b"), F.col("rep").alias("y"))
     across = links.join(ra, "a").join(rb, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
@@ -132,7 +130,10 @@ def repeated_lines(docs: DataFrame, min_words: int, similarity: int, distance: i
     met = links.select(F.explode(F.array("a", "b")).alias("fp")).unionAll(crowded.select("fp")).distinct()
     labelled = nodes.join(met, "fp").select("fp", "h1").join(joined.select(F.col("node").alias("h1"), "component"), "h1", "left")
     labelled = store(labelled.select("fp", "h1", F.coalesce("component", "h1").alias("label")), "lines2")
-    again = close_links(labelled.select("fp", "label").distinct(), distance, n_blocks, False, label="lines2").distinct()
+    # a fingerprint whose lines are apart is compared with all near it and with itself
+    each = labelled.groupBy("fp").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
+    near = close_links(each.select("fp", F.when(F.col("l0") == F.col("l1"), F.col("l0")).otherwise(F.xxhash64("fp", "l0")).alias("label")), distance, n_blocks, False, label="lines2")
+    again = near.unionAll(each.where("l0 <> l1").select(F.col("fp").alias("a"), F.col("fp").alias("b"))).distinct()
     la, lb = labelled.select(F.col("fp").alias("a"), F.col("h1").alias("x"), F.col("label").alias("lx")), labelled.select(F.col("fp").alias("b"), F.col("h1").alias("y"), F.col("label").alias("ly"))
     rest = again.join(la, "a").join(lb, "b").where("lx <> ly").select(F.col("x").alias("a"), F.col("y").alias("b"))
     second = _verified(rest, nodes, docs, similarity, min_words, "lines2")
@@ -144,7 +145,6 @@ def repeated_lines(docs: DataFrame, min_words: int, similarity: int, distance: i
     out = store(gone.groupBy("d", "k").agg(F.collect_set("line").alias("gone")), "lines-gone")
     for x in (lines, nodes, fps):
         drop(x)
-    release(spark)
     return out
 
 
