@@ -25,7 +25,7 @@ RULES = {
     "few_words": "n_words < 10",
     "repeated_words": "100 * n_repeat_words > 20 * n_words",
     "many_symbols": "10 * n_symbols > n_words",
-    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
+    "repeated_lines": "100 * n_dup_lines > 60 * n_lines",
     "long_words": "word_chars > 12 * n_words",
     "short_words": "word_chars < 2 * n_words",
     "many_words": "n_words > 100000",
