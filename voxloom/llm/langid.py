@@ -66,7 +66,7 @@ def labelled_sample(docs: DataFrame, where, seed: int = 23) -> dict[str, list[by
     """
     rows = docs.where(where & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS)).select("lang", "doc_id", F.xxhash64("doc_id", F.lit(seed)).alias("h"))
     first = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("n") <= SAMPLE).select("doc_id")
-    got = docs.join(F.broadcast(first.distinct()), "doc_id").where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", F.xxhash64("doc_id", F.lit(seed)).alias("h"), F.col("text").cast("binary").alias("text")).collect()
+    got = docs.join(F.broadcast(first.distinct()), "doc_id").where(F.col("lang").isNotNull() & F.col("text").isNotNull()).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", F.xxhash64("doc_id", F.lit(seed)).alias("h"), F.col("text").cast("binary").alias("text")).collect()  # a repeated id gives one text
     out: dict[str, list[bytes]] = {}
     for r in sorted(got, key=lambda r: (r.h, bytes(r.text))):
         out.setdefault(r.lang, []).append(bytes(r.text))

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from .common import NULL_ID, real_id, store
 
-#: Words of a block; words of a shard, and most shards (their table is planned on the driver).
-BLOCK, SHARD_WORDS, MAX_SHARDS = 256, 4_000_000, 4096
+#: Words of a block; words of a shard, most shards, and most rows of (source, shard), which are planned on the driver.
+BLOCK, SHARD_WORDS, MAX_SHARDS, MAX_PLAN = 256, 4_000_000, 4096, 500_000
 #: Sources that a plan takes at most.
 MAX_SOURCES = 10_000
 WEIGHTS, SHARE, REPEATS, SEED = (3, 1, 2), 1.5, 2, 42
@@ -96,8 +96,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = R
     of the seed.  The same rows give the same result whatever their order and
     partitions; an empty table gives an empty result.
 
-    Only sums per source and per (source, shard) reach the driver: at most
-    MAX_SOURCES sources, which a plan of weights lists, times MAX_SHARDS.
+    Only sums reach the driver: per source, of which a plan of weights lists
+    at most MAX_SOURCES, and per (source, shard), at most MAX_PLAN.
     """
     spark = docs.sparkSession
     d = F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID))
@@ -111,7 +111,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = R
     sizes = [r.words for r in by_source]
     goal = targets(sizes, weights, share, repeats)
     number = {r.source: i for i, r in enumerate(by_source)}
-    shards = max(1, min(MAX_SHARDS, -(-sum(sizes) // shard_words)))
+    shards = max(1, min(MAX_SHARDS, MAX_PLAN // max(1, len(sizes)), -(-sum(sizes) // shard_words)))
     plan = spark.createDataFrame([(r.source, number[r.source], r.words, g) for r, g in zip(by_source, goal)], "source string, s int, source_size long, target double")
     rows = rows.join(F.broadcast(plan), rows["source"].eqNullSafe(plan["source"])).select("d", "key", "at", "size", "s", "source_size", "target", F.pmod(F.shiftright("at", 8), F.lit(shards)).cast("int").alias("shard"))
     # the line of a source: shard after shard, in each by the seeded hash
@@ -160,16 +160,14 @@ def mixed_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sou
     spark = docs.sparkSession
     bound_batches(spark)
     taken = store(mix(docs, text=text, doc_id=doc_id, source=source, **options), "mix-taken")
-    d, k, p, r, z = (free_name(docs, x) for x in ("_d", "_k", "_passes", "_ranges", "_size"))
-    plan = taken.groupBy(F.coalesce("doc_id", F.lit(NULL_ID)).alias(d), F.col("key").alias(k)).agg(F.sort_array(F.collect_list(F.struct("passes", "size", "ranges"))).alias(p))
+    d, k, p, r, z, n = (free_name(docs, x) for x in ("_d", "_k", "_passes", "_ranges", "_size", "_n"))
+    # rows that repeat id and text are placed one after another: each takes a plan of its own
+    at = lambda *order: F.row_number().over(Window.partitionBy(d, k).orderBy(*order))
+    plan = taken.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias(d), F.col("key").alias(k), F.col("passes").alias(p), F.col("size").alias(z), F.col("ranges").alias(r))
+    plan = plan.withColumn(n, at(p, z, r))
     own = docs.withColumn(d, F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)))
-    own = own.withColumn(k, F.xxhash64(d, F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    # rows that repeat id and text are placed one after another: each takes its own plan
-    from pyspark.sql import Window
-
-    own = own.withColumn(r, F.row_number().over(Window.partitionBy(d, k).orderBy(F.lit(0))))
-    rows = own.join(plan, [d, k])
-    rows = rows.withColumn(p, F.get(p, F.col(r) - 1)).select(*docs.columns, F.col(f"{p}.passes").alias(r), F.col(f"{p}.size").alias(z), F.col(f"{p}.ranges").alias(k))
+    own = own.withColumn(k, F.xxhash64(d, F.coalesce(F.col(text).cast("string"), F.lit("")))).withColumn(n, at(F.lit(0)))
+    rows = own.join(plan, [d, k, n]).select(*docs.columns, p, z, r)
     word, names = re.compile(r"[^\x20\x09-\x0D]+"), docs.columns
 
     def cut(t: str, ranges) -> str:
@@ -179,7 +177,7 @@ def mixed_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sou
     def run(batches):
         for batch in batches:
             index, texts = [], []
-            columns = (batch.column(c).to_pylist() for c in (text, r, z, k))
+            columns = (batch.column(c).to_pylist() for c in (text, p, z, r))
             for i, (t, passes, size, ranges) in enumerate(zip(*columns)):
                 for _ in range(passes if size else 1):
                     index.append(i)

@@ -155,7 +155,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, where, seed: int = 17) -
     rows = labels.where(where & F.col("toxic").isin(0, 1)).select("doc_id", "toxic", F.xxhash64(F.col("doc_id"), F.lit(seed)).alias("h"))
     take = [rows.where(F.col("toxic") == t).orderBy("h", "doc_id").limit(n) for t, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY))]
     few = F.broadcast(take[0].unionAll(take[1]))
-    got = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text").join(few, "doc_id").select("toxic", "h", F.col("text").cast("binary").alias("text")).collect()
+    got = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text").join(few, "doc_id").groupBy("doc_id", "toxic", "h").agg(F.min("text").cast("binary").alias("text")).collect()  # a repeated id gives one text
     got.sort(key=lambda r: (r.h, bytes(r.text)))
     seen: dict = {1: {}, 0: {}}
     for r in got:
