@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +41,15 @@ def _hadoop(spark: SparkSession, path: str):
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write df to a scratch table and read it back: this cuts the lineage.
 
-    The files go when the session ends, or earlier through :func:`drop`.
+    The files go when the session ends, or earlier through :func:`drop`; the
+    shuffle files behind them go at once.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/voxloom-{label}-{uuid.uuid4().hex}"
     fs, p = _hadoop(spark, path)
     fs.deleteOnExit(p)
-    df.write.option("compression", "zstd").parquet(path)
+    with _shuffles_removed(spark):
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
@@ -59,12 +62,18 @@ def drop(df: DataFrame) -> None:
         fs.delete(p, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let the cleaner remove shuffle files of stages whose results are stored."""
-    import gc
+#: Lets Spark remove the shuffle files of a query when it ends, not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    gc.collect()
-    spark._jvm.System.gc()
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession):
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
 
 
 def bound_batches(spark: SparkSession) -> None:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, keyed, real_id, release, store, word_spans
+from .common import drop, keyed, real_id, store, word_spans
 
 #: Words of a window.
 LENGTH = 35
@@ -215,9 +215,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, period: int = PERIOD,
     """
     if not is_cover(cover, period) or period >= length:
         raise ValueError("cover must hold every difference modulo a period under the length")
-    spark = docs.sparkSession
     anchors = store(_repeated(keyed(docs, text, doc_id).mapInArrow(_anchors(length, period, cover), _SCHEMA)), "anchors")
-    release(spark)
     whole = F.col("pos") == WHOLE
     by_doc = anchors.groupBy("d", "k").agg(
         F.collect_list(F.when(~whole, F.col("pos"))).alias("anchors"),
@@ -231,13 +229,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, period: int = PERIOD,
     searched = by_doc.where("(twin = 0 or speaks = 1) and size(anchors) > 0")
     found = source.join(searched, on(source, searched)).select("_d", "_k", "_t", "anchors", "twin").mapInArrow(_windows(length, period), _SCHEMA)
     windows = store(_repeated(found), "windows")
-    release(spark)
     starts = windows.groupBy("d", "k").agg(F.collect_set("pos").alias("starts"))
     twins = by_doc.where("twin = 1").select("d", "k", F.lit(True).alias("whole"))
     marks = store(starts.join(twins, ["d", "k"], "full").withColumnsRenamed({"d": "md", "k": "mk"}), "windows-doc")
     drop(anchors)
     drop(windows)
-    release(spark)
     final = source.join(marks, (source["_d"] == marks["md"]) & (source["_k"] == marks["mk"]), "left")
     schema = "_d long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     out = final.select("_d", "_t", "starts", "whole").mapInArrow(_result(length, with_text), schema)
