@@ -110,7 +110,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: i
     texts = store(texts.dropDuplicates(["h"]), f"{label}-texts")
     a, b = texts.select(F.col("h").alias("a"), F.col("t").alias("ta")), texts.select(F.col("h").alias("b"), F.col("t").alias("tb"))
     most = f"cast((greatest(length(ta), length(tb)) * {100 - similarity}) div 100 as int)"
-    near = F.expr(f"abs(length(ta) - length(tb)) <= {most}") & F.expr(f"levenshtein(ta, tb, {most}) >= 0")
+    # the cost grows with the bound: most links are a few edits, which a small bound shows
+    within = [f"levenshtein(ta, tb, {most}) >= 0" if k is None else f"levenshtein(ta, tb, least({k}, {most})) >= 0" for k in (8, 64, None)]
+    near = F.expr(f"abs(length(ta) - length(tb)) <= {most} AND ({within[0]} OR ({most} > 8 AND {within[1]}) OR ({most} > 64 AND {within[2]}))")
     return store(pairs.join(a, "a").join(b, "b").where(near).select("a", "b"), f"{label}-edges")
 
 
