@@ -110,7 +110,7 @@ def test_pipeline_form(docs, rows, empty):
 
 def test_simhash_of_words():
     words = b"one two two three".split()
-    h = [xxhash.xxh3_64_intdigest(w) for w in words]
-    want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > 4)
+    h = [xxhash.xxh3_64_intdigest(w) for w in set(words)]
+    want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > 3)
     assert lines.simhashes([words, [b"a"]]).tolist() == [want, xxhash.xxh3_64_intdigest(b"a")]
     assert lines.simhashes([]).dtype == np.uint64

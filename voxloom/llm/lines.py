@@ -40,7 +40,12 @@ def normal_lines(text: bytes, min_words: int = MIN_WORDS) -> list[tuple[int, lis
 
 
 def simhashes(lines: list[list[bytes]]) -> np.ndarray:
-    """Fingerprints of lines: bit i is set where over half of the words' 64-bit hashes have it."""
+    """Fingerprints of lines: bit i is set where over half of the distinct words' 64-bit hashes have it.
+
+    Repeats don't count: in long lines the frequent words of a language would
+    outvote all others.
+    """
+    lines = [list(set(x)) for x in lines]
     out, i = np.empty(len(lines), dtype=np.uint64), 0
     while i < len(lines):
         j, n = i, 0
@@ -161,7 +166,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: int = S
 
     Lines end at line feeds.  Two lines of at least ``min_words`` words are
     linked where their normalised forms are equal, or where their SimHashes
-    (over words) differ in at most ``distance`` bits and their edit similarity
+    (over distinct words) differ in at most ``distance`` bits and their edit similarity
     is ``similarity`` percent or more.  Of each connected group the occurrence
     in the smallest doc_id, then the earliest line, stays; all others go.  Kept
     lines are unchanged and joined by line feeds.  A null or empty text has one
