@@ -1,0 +1,97 @@
+"""Groups of similar things by MinHash keys and verified links.
+
+A thing is a set of 64-bit hashes.  Keys are made of several minima of the set
+under fixed permutations, so that two things meet under a key with a chance
+that grows steeply with their Jaccard similarity.  What meets is verified by
+the caller: a first round links each thing to one of its key, a second one
+verifies every pair that meets and is still apart.  So every pair that meets is
+verified or already connected, without listing the pairs inside a large group.
+"""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .common import drop, store
+from .graph import components
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Scheme:
+    """``keys`` keys of ``rows`` minima each, out of ``minima`` permutations; keys may share minima."""
+
+    def __init__(self, minima: int, rows: int, keys: int, seed: int):
+        r = random.Random(seed)
+        self.odd = [np.uint32(r.getrandbits(32) | 1) for _ in range(minima)]
+        self.flip = [np.uint32(r.getrandbits(32)) for _ in range(minima)]
+        self.weight = [np.uint64(r.getrandbits(64) | 1) for _ in range(rows)]
+        self.salt = [np.uint64(r.getrandbits(64)) for _ in range(keys)]
+        picks: list[int] = []
+        while len(picks) < rows * keys:
+            picks += r.sample(range(minima), minima)
+        self.picks = [picks[i * rows : (i + 1) * rows] for i in range(keys)]
+
+    def of(self, hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Keys (int64, one row for each thing) of hashes[start:end]; no thing is empty and they lie in order."""
+        return self.mixed(self.minima(hashes, start, end))
+
+    def minima(self, hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        h = (hashes * _MIX >> np.uint64(32)).astype(np.uint32)
+        cuts = np.empty(2 * len(start), dtype=np.int64)
+        cuts[::2], cuts[1::2] = start, end
+        if len(cuts) and cuts[-1] == len(h):
+            cuts = cuts[:-1]
+        out = np.empty((len(start), len(self.odd)), dtype=np.uint32)
+        for i, (a, c) in enumerate(zip(self.odd, self.flip)):
+            x = h ^ c
+            x *= a
+            x ^= x >> np.uint32(15)
+            x *= np.uint32(0x2C1B3C6D)
+            out[:, i] = np.minimum.reduceat(x, cuts)[::2]
+        return out
+
+    def mixed(self, low: np.ndarray) -> np.ndarray:
+        out = np.empty((len(low), len(self.picks)), dtype=np.uint64)
+        for i, (pick, salt) in enumerate(zip(self.picks, self.salt)):
+            x = np.full(len(low), salt, dtype=np.uint64)
+            for p, w in zip(pick, self.weight):
+                x = (x ^ low[:, p].astype(np.uint64)) * w
+                x ^= x >> np.uint64(29)
+            out[:, i] = x * _MIX
+        return out.view(np.int64)
+
+
+def groups(nodes: DataFrame, verify, percent: int, label: str) -> DataFrame:
+    """``node``, ``component`` (smallest node reachable over verified links) of each node that has a link.
+
+    nodes: distinct ``node`` (long), ``size`` (two nodes are compared where the
+    smaller size is at least percent of the larger) and ``keys`` (array of
+    long).  verify: gives those of the pairs ``a``, ``b`` that are similar.
+    """
+    rows = nodes.select("node", "size", F.explode("keys").alias("key"))
+    of_key = Window.partitionBy("key")
+    met = rows.withColumns({"lo": F.min(F.struct("node", "size")).over(of_key), "hi": F.max("node").over(of_key)}).where("lo.node <> hi")
+    met = store(met.select("key", "node", "size", "lo"), f"{label}-met")
+    alike = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
+    pairs = met.where((F.col("node") != F.col("lo.node")) & alike(F.col("size"), F.col("lo.size"))).select(F.col("lo.node").alias("a"), F.col("node").alias("b"))
+    pairs = store(pairs.distinct(), f"{label}-pairs1")
+    first = verify(pairs, f"{label}1")
+    joined = store(components(first, f"{label}1"), f"{label}-cc1")
+    # what meets but is not yet connected
+    marked = met.select("key", "node", "size").join(joined, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("label"))
+    marked = store(marked, f"{label}-marked")
+    apart = marked.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("key")
+    rest = marked.join(apart, "key")
+    a, b = (rest.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "size", "label"))) for x in "ab")
+    again = a.join(b, "key").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & alike(F.col("size_a"), F.col("size_b")))
+    again = again.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+    second = verify(store(again, f"{label}-pairs2"), f"{label}2")
+    out = store(components(first.unionAll(second), f"{label}2"), f"{label}-cc2")
+    for x in (met, marked, pairs):
+        drop(x)
+    return out

@@ -213,16 +213,21 @@ def near_duplicates(docs: DataFrame, distance: int = 2, n_blocks: int = 4, shing
     return found.select(real_id("d").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), real_id("component").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, distance: int = 2, n_blocks: int = 4, shingle: int = 3, bucket_limit: int = BUCKET_LIMIT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """docs without near copies, all columns kept: the row of each component's smallest doc_id stays.
-
-    Where rows of one component repeat that doc_id, one of them stays.
-    """
-    found = classes(docs, distance, n_blocks, shingle, bucket_limit, text, doc_id).where("d = component")
-    keep = found.groupBy("component").agg(F.min("k").alias("k")).select(F.col("component").alias("_keep_d"), F.col("k").alias("_keep_k"))
+def rows_kept(docs: DataFrame, found: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row of docs for each ``component`` of found (``d``, ``k``, ``component``): that of the least ``d``, then ``k``."""
+    keep = found.groupBy("component").agg(F.min(F.struct("d", "k")).alias("at")).select(F.col("at.d").alias("_keep_d"), F.col("at.k").alias("_keep_k"))
     d, k, n = (free_name(docs, x) for x in ("_d", "_k", "_n"))
     own = F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID))
     own = docs.withColumns({d: own, k: F.xxhash64(own, F.coalesce(F.col(text).cast("string"), F.lit("")))})
     kept = own.join(keep, (own[d] == keep["_keep_d"]) & (own[k] == keep["_keep_k"]), "left_semi")
     one = kept.withColumn(n, F.row_number().over(Window.partitionBy(d, k).orderBy(F.lit(0))))
     return one.where(F.col(n) == 1).select(*docs.columns)
+
+
+def keep_one(docs: DataFrame, distance: int = 2, n_blocks: int = 4, shingle: int = 3, bucket_limit: int = BUCKET_LIMIT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """docs without near copies, all columns kept: the row of each component's smallest doc_id stays.
+
+    Where rows of one component repeat that doc_id, one of them stays.
+    """
+    found = classes(docs, distance, n_blocks, shingle, bucket_limit, text, doc_id)
+    return rows_kept(docs, found.where("d = component"), text, doc_id)

@@ -1,0 +1,126 @@
+"""Near copies of documents by the Jaccard similarity of their word shingles.
+
+Texts whose lower-cased words are equal are one node.  Nodes meet under MinHash
+keys of their sets of shingles; what meets is verified by the exact similarity
+of the sets.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import drop, keyed, store, word_spans
+from .minhash import Scheme, groups
+from .simhash import SEED, rows_kept
+
+#: Words of a shingle, and least Jaccard similarity of near copies in percent.
+SHINGLE, SIMILARITY = 5, 80
+#: A pair of 80 % similarity shares none of these keys with a chance of 0.02 %, were the keys independent.
+SCHEME = Scheme(minima=32, rows=4, keys=16, seed=11)
+#: Hashes that are reduced at a time.
+SLICE = 1 << 16
+
+
+def shingle_set(words: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the shingles; fewer words than a shingle are one."""
+    if len(words) <= shingle:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], dtype=np.uint64)
+    joined, start, end = word_spans(words)
+    digest = xxhash.xxh64_intdigest
+    spans = zip(start[: len(start) - shingle + 1].tolist(), end[shingle - 1 :].tolist())
+    return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in spans), dtype=np.uint64, count=len(words) - shingle + 1))
+
+
+def _keys(sets: list[np.ndarray]) -> np.ndarray:
+    """Keys of each set; a long one is reduced by slices."""
+    low, i = [], 0
+    while i < len(sets):
+        j, n = i, 0
+        while j < len(sets) and (j == i or n + len(sets[j]) <= SLICE):
+            n += len(sets[j])
+            j += 1
+        if n > SLICE:
+            cut = [sets[i][s : s + SLICE] for s in range(0, n, SLICE)]
+            low.append(np.min([SCHEME.minima(c, np.array([0]), np.array([len(c)])) for c in cut], axis=0))
+        else:
+            end = np.cumsum([len(s) for s in sets[i:j]])
+            low.append(SCHEME.minima(np.concatenate(sets[i:j]), np.concatenate([[0], end[:-1]]), end))
+        i = j
+    return SCHEME.mixed(np.concatenate(low)) if low else np.empty((0, len(SCHEME.picks)), dtype=np.int64)
+
+
+def _nodes(shingle: int):
+    def run(batches):
+        for batch in batches:
+            node, size, sets = [], [], []
+            for t in batch.column("_t").to_pylist():
+                words = t.lower().split()
+                node.append(xxhash.xxh64_intdigest(b" ".join(words), SEED))
+                sets.append(shingle_set(words, shingle))
+                size.append(len(sets[-1]))
+            keys = _keys(sets)
+            keys = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32), pa.array(keys.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("_d"), batch.column("_k"), pa.array(np.array(node, dtype=np.uint64).view(np.int64)), pa.array(size, pa.int64()), keys], ["d", "k", "node", "size", "keys"])
+
+    return run
+
+
+def _sets(shingle: int):
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t.lower().split(), shingle).tobytes() for t in batch.column("_t").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    return run
+
+
+def _similar(percent: int):
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
+                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMILARITY, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``d``, ``k`` and ``component`` for each row: near copies share a component, which is a node and no doc_id."""
+    source = keyed(docs, text, doc_id)
+    rows = store(source.mapInArrow(_nodes(shingle), "d long, k long, node long, size long, keys array<long>"), "similar")
+    nodes = rows.groupBy("node").agg(F.min(F.struct("d", "k")).alias("at"), F.first("size").alias("size"), F.first("keys").alias("keys"))
+    nodes = store(nodes, "similar-node")
+
+    def verify(pairs, label):
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "at"), "node")
+        wanted = wanted.select("node", F.col("at.d").alias("d"), F.col("at.k").alias("k"))
+        sets = source.join(wanted, (source["_d"] == wanted["d"]) & (source["_k"] == wanted["k"])).select("node", "_t").mapInArrow(_sets(shingle), "node long, shingles binary")
+        sets = store(sets.dropDuplicates(["node"]), f"{label}-sets")
+        a, b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
+        # dealt by pair, as the links of a large group share one end
+        out = store(pairs.join(a, "a").join(b, "b").repartition("a", "b").mapInArrow(_similar(percent), "a long, b long"), f"{label}-edges")
+        drop(sets)
+        return out
+
+    group = groups(nodes.select("node", "size", "keys"), verify, percent, "similar")
+    return rows.select("d", "k", "node").join(group, "node", "left").select("d", "k", F.coalesce("component", "node").alias("component"))
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMILARITY, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """docs without near copies, all columns kept: of each connected group the row of the smallest doc_id stays.
+
+    Two documents are linked where the sets of their ``shingle``-word shingles
+    (words lower-cased A-Z, separated by ASCII white space) have a Jaccard
+    similarity of ``percent`` or more; all texts without a word are linked.
+    Verified links are right but for collisions of 64-bit hashes; a pair may be
+    missed where it shares no MinHash key.  A null doc_id sorts below all
+    others; where rows of a group repeat the smallest doc_id, one of them stays.
+    """
+    return rows_kept(docs, near_copies(docs, shingle, percent, text, doc_id), text, doc_id)
