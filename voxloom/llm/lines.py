@@ -1,8 +1,10 @@
 """Fuzzy line deduplication.
 
-Lines are normalised and SimHashed; fingerprints meet in pigeonhole blocks, the
-lines behind close ones are verified by edit similarity, and of each connected
-group the first occurrence stays.
+Lines are normalised; those that may be alike are found by one of two searches
+and verified by edit similarity, and of each connected group the first
+occurrence stays.  ``fingerprints``: SimHashes of the words meet in pigeonhole
+blocks, so only lines whose SimHashes are close are verified.  ``grams``: MinHash
+keys of the five-byte grams, which an edit moves little in short lines too.
 
 Equal lines are one node.  A first round verifies as many links as connect the
 fingerprints of each block; a second one verifies what links remain between
@@ -22,12 +24,22 @@ from pyspark.sql import functions as F
 
 from .common import drop, free_name, keyed, real_id, store
 from .graph import components
+from .minhash import Scheme, groups
 from .simhash import close_links
 
 #: Lines of fewer words are never removed: short ones coincide by chance.
 MIN_WORDS = 5
 #: Least edit similarity of linked lines, in percent; bits in which their fingerprints may differ; blocks of a fingerprint.
 SIMILARITY, DISTANCE, BLOCKS = 80, 3, 5
+#: Keys by the length of a line in characters: name, least, end, bytes of a gram, scheme.  The longer two unlike lines are, the more
+#: short grams they share.  Two lines of 80 % edit similarity always have one of the schemes in common.
+SCHEMES = (
+    ("short", 0, 80, 5, Scheme(minima=32, rows=4, keys=20, seed=7)),
+    ("middle", 64, 600, 5, Scheme(minima=40, rows=5, keys=24, seed=7)),
+    ("long", 480, None, 10, Scheme(minima=32, rows=4, keys=16, seed=7)),
+)
+#: Passes over the keys: each deals out its share of them, which bounds the disk that takes.
+PASSES = 4
 #: Words that are hashed at a time.
 SLICE = 1 << 18
 #: Fixed by definition: A-Z to a-z, digits to 0, other ASCII but the line feed to a space.
@@ -90,6 +102,59 @@ def _line_rows(min_words: int):
     return run
 
 
+def gram_keys(lines: list[bytes], gram: int, scheme: Scheme) -> np.ndarray:
+    """32-bit keys of the grams of each line, a space before and after it."""
+    framed = [b" " + x + b" " for x in lines]
+    size = np.fromiter(map(len, framed), dtype=np.int64, count=len(framed))
+    end = np.cumsum(size)
+    data = np.frombuffer(b"".join(framed) + bytes(gram), dtype=np.uint8).astype(np.uint64)
+    grams = np.zeros(len(data) - gram, dtype=np.uint64)
+    for i in range(gram):
+        grams *= np.uint64(0x100000001B3)
+        grams += data[i : i + len(grams)]
+    grams *= np.uint64(0x9E3779B97F4A7C15)
+    grams ^= grams >> np.uint64(32)
+    return (scheme.of(grams, end - size, np.maximum(end - gram + 1, end - size + 1)) >> 32).astype(np.int32)
+
+
+def _gram_rows(min_words: int):
+    def keys(lines, size, least, end, gram, scheme):
+        """A list of keys for lines of the scheme's length, null for others."""
+        which = np.flatnonzero((size >= least) & (size < (end or np.inf)))
+        found = gram_keys([lines[i] for i in which], gram, scheme) if len(which) else np.empty((0, 1), dtype=np.int32)
+        has = np.zeros(len(lines), dtype=bool)
+        has[which] = True
+        offsets = np.concatenate([[0], np.cumsum(has)]) * found.shape[1]
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(found.ravel()), mask=pa.array(~has))
+
+    def run(batches):
+        for batch in batches:
+            lines, number, docs, digest = [], [], [], []
+
+            def rows():
+                h = np.frombuffer(b"".join(digest), dtype=np.int64).reshape(-1, 2)
+                size = np.fromiter((len(x.decode("utf-8", "replace")) for x in lines), dtype=np.int64, count=len(lines))
+                take = pa.array(np.array(docs, dtype=np.int64))
+                columns = [batch.column("_d").take(take), batch.column("_k").take(take), pa.array(number, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(size)]
+                return pa.RecordBatch.from_arrays(columns + [keys(lines, size, *x[1:]) for x in SCHEMES], ["d", "k", "line", "h1", "h2", "size", *(x[0] for x in SCHEMES)])
+
+            held = 0
+            for i, t in enumerate(batch.column("_t").to_pylist()):
+                for n, w in normal_lines(t, min_words):
+                    lines.append(b" ".join(w))
+                    number.append(n)
+                    docs.append(i)
+                    digest.append(xxhash.xxh3_128_digest(lines[-1]))
+                    held += len(w)
+                    if held > SLICE // 4:
+                        yield rows()
+                        lines, number, docs, digest, held = [], [], [], [], 0
+            if lines:
+                yield rows()
+
+    return run
+
+
 def _wanted(min_words: int):
     """The normalised lines that ``wanted`` (line, h1) names."""
 
@@ -116,9 +181,10 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: i
     a, b = texts.select(F.col("h").alias("a"), F.col("t").alias("ta")), texts.select(F.col("h").alias("b"), F.col("t").alias("tb"))
     most = f"cast((greatest(length(ta), length(tb)) * {100 - similarity}) div 100 as int)"
     # the cost grows with the bound: most links are a few edits, which a small bound shows
-    within = [f"levenshtein(ta, tb, {most}) >= 0" if k is None else f"levenshtein(ta, tb, least({k}, {most})) >= 0" for k in (8, 64, None)]
-    near = F.expr(f"abs(length(ta) - length(tb)) <= {most} AND ({within[0]} OR ({most} > 8 AND {within[1]}) OR ({most} > 64 AND {within[2]}))")
-    # dealt by pair, as the links of a large group share one end; rand keeps the condition above that exchange
+    bounds = (8, 64, 256, 1024, 4096)
+    within = ["levenshtein(ta, tb, least(8, %s)) >= 0" % most]
+    within += [f"({most} > {low} AND levenshtein(ta, tb, {f'least({k}, {most})' if k else most}) >= 0)" for low, k in zip(bounds, (*bounds[1:], None))]
+    near = F.expr(f"abs(length(ta) - length(tb)) <= {most} AND ({' OR '.join(within)})")
     near = F.when(F.rand(0) < 2, near)
     return store(pairs.join(a, "a").join(b, "b").repartition("a", "b").where(near).select("a", "b"), f"{label}-edges")
 
@@ -147,14 +213,42 @@ def repeated_lines(docs: DataFrame, min_words: int, similarity: int, distance: i
     rest = again.join(la, "a").join(lb, "b").where("lx <> ly").select(F.col("x").alias("a"), F.col("y").alias("b"))
     second = _verified(rest, nodes, docs, similarity, min_words, "lines2")
     group = store(components(first.unionAll(second), "lines2"), "lines2-cc")
+    out = _gone(lines, nodes, group)
+    for x in (lines, nodes, fps):
+        drop(x)
+    return out
+
+
+def similar_lines(docs: DataFrame, min_words: int, similarity: int) -> DataFrame:
+    """As repeated_lines, by MinHash keys of grams."""
+    lines = store(docs.mapInArrow(_gram_rows(min_words), "d long, k long, line int, h1 long, h2 long, size long" + "".join(f", {x[0]} array<int>" for x in SCHEMES)), "lines")
+    one = lambda c: F.first(c, ignorenulls=True).alias(c)
+    nodes = store(lines.groupBy("h1", "h2").agg(F.min(F.struct("d", "k", "line")).alias("first"), F.count("*").alias("n"), one("size"), *(one(x[0]) for x in SCHEMES)), "lines-node")
+    own = lambda c, at: F.coalesce(F.transform(c, lambda x, i: (i + at).cast("long") * (1 << 32) + x.cast("long")), F.array().cast("array<long>"))
+    keys = F.concat(*(own(x[0], 100 * i) for i, x in enumerate(SCHEMES)))
+    keyed_nodes = nodes.select(F.col("h1").alias("node"), "size", keys.alias("keys"))
+    group = groups(keyed_nodes, lambda pairs, label: _verified(pairs, nodes, docs, similarity, min_words, label), similarity, "lines", PASSES)
+    out = _gone(lines, nodes, group)
+    for x in (lines, nodes):
+        drop(x)
+    return out
+
+
+def _gone(lines: DataFrame, nodes: DataFrame, group: DataFrame) -> DataFrame:
+    """``d``, ``k``, ``gone``: all occurrences of each group of lines but the first."""
     lead = nodes.join(group.select(F.col("node").alias("h1"), "component"), "h1", "left")
     top = lead.where("component is not null").groupBy("component").agg(F.min("first").alias("stays"))
     marks = lead.where("component is not null or n > 1").join(top, "component", "left").select("h1", "h2", F.coalesce("stays", "first").alias("stays"))
     gone = lines.join(marks, ["h1", "h2"]).where(F.struct("d", "k", "line") != F.col("stays"))
-    out = store(gone.groupBy("d", "k").agg(F.collect_set("line").alias("gone")), "lines-gone")
-    for x in (lines, nodes, fps):
-        drop(x)
-    return out
+    return store(gone.groupBy("d", "k").agg(F.collect_set("line").alias("gone")), "lines-gone")
+
+
+def _marks(docs: DataFrame, search: str, min_words: int, similarity: int, distance: int, n_blocks: int) -> DataFrame:
+    if search == "grams":
+        return similar_lines(docs, min_words, similarity)
+    if search != "fingerprints":
+        raise ValueError(f"unknown search: {search}")
+    return repeated_lines(docs, min_words, similarity, distance, n_blocks)
 
 
 def kept_lines(text: bytes, gone) -> list[bytes]:
@@ -163,13 +257,14 @@ def kept_lines(text: bytes, gone) -> list[bytes]:
     return [x for i, x in enumerate(lines) if i not in gone] if gone else lines
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: int = SIMILARITY, distance: int = DISTANCE, n_blocks: int = BLOCKS, with_text: bool = False, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: int = SIMILARITY, distance: int = DISTANCE, n_blocks: int = BLOCKS, with_text: bool = False, text: str = "text", doc_id: str = "doc_id", search: str = "fingerprints") -> DataFrame:
     """One row per document: ``doc_id``, ``n_lines``, ``n_removed``, ``kept_sha256`` and, if asked for, ``kept_text``.
 
     Lines end at line feeds.  Two lines of at least ``min_words`` words are
-    linked where their normalised forms are equal, or where their SimHashes
-    (over distinct words) differ in at most ``distance`` bits and their edit similarity
-    is ``similarity`` percent or more.  Of each connected group the occurrence
+    linked where their normalised forms are equal, or where the search finds them and
+    their edit similarity is ``similarity`` percent or more.  search:
+    ``fingerprints`` finds lines whose SimHashes (over distinct words) differ in at most
+    ``distance`` bits, ``grams`` those that share a MinHash key of their grams, with no such bound.  Of each connected group the occurrence
     in the smallest doc_id, then the earliest line, stays; all others go.  Kept
     lines are unchanged and joined by line feeds.  A null or empty text has one
     empty line, which stays.  Rows that repeat both id and text count as one
@@ -177,7 +272,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: int = S
     table gives an empty result.
     """
     source = keyed(docs, text, doc_id)
-    marks = repeated_lines(source, min_words, similarity, distance, n_blocks)
+    marks = _marks(source, search, min_words, similarity, distance, n_blocks)
 
     def run(batches):
         for batch in batches:
@@ -198,9 +293,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: int = S
     return out.select(real_id().alias("doc_id"), *out.columns[1:])
 
 
-def without_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_chars: str = "n_chars", min_words: int = MIN_WORDS, similarity: int = SIMILARITY, distance: int = DISTANCE, n_blocks: int = BLOCKS) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_chars: str = "n_chars", min_words: int = MIN_WORDS, similarity: int = SIMILARITY, distance: int = DISTANCE, n_blocks: int = BLOCKS, search: str = "fingerprints") -> DataFrame:
     """docs with the repeated lines taken out of their texts, every row and column kept; n_chars follows the text where there is such a column."""
-    marks = repeated_lines(keyed(docs, text, doc_id), min_words, similarity, distance, n_blocks)
+    marks = _marks(keyed(docs, text, doc_id), search, min_words, similarity, distance, n_blocks)
     d, k, g = (free_name(docs, x) for x in ("_d", "_k", "_gone"))
     marks = marks.select(F.col("d").alias(d), F.col("k").alias(k), F.col("gone").alias(g))
     own = docs.withColumn(d, F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))))

@@ -11,6 +11,7 @@ verified or already connected, without listing the pairs inside a large group.
 from __future__ import annotations
 
 import random
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -66,17 +67,25 @@ class Scheme:
         return out.view(np.int64)
 
 
-def groups(nodes: DataFrame, verify, percent: int, label: str) -> DataFrame:
+def _share(p: int, passes: int):
+    return F.filter("keys", lambda x, i: i % passes == p)
+
+
+def groups(nodes: DataFrame, verify, percent: int, label: str, passes: int = 1) -> DataFrame:
     """``node``, ``component`` (smallest node reachable over verified links) of each node that has a link.
 
     nodes: distinct ``node`` (long), ``size`` (two nodes are compared where the
     smaller size is at least percent of the larger) and ``keys`` (array of
     long).  verify: gives those of the pairs ``a``, ``b`` that are similar.
+    passes: parts in which the keys are dealt out.
     """
-    rows = nodes.select("node", "size", F.explode("keys").alias("key"))
     of_key = Window.partitionBy("key")
-    met = rows.withColumns({"lo": F.min(F.struct("node", "size")).over(of_key), "hi": F.max("node").over(of_key)}).where("lo.node <> hi")
-    met = store(met.select("key", "node", "size", "lo"), f"{label}-met")
+    parts = []
+    for p in range(passes):
+        rows = nodes.select("node", "size", F.explode(_share(p, passes)).alias("key"))
+        shared = rows.withColumns({"lo": F.min(F.struct("node", "size")).over(of_key), "hi": F.max("node").over(of_key)}).where("lo.node <> hi")
+        parts.append(store(shared.select("key", "node", "size", "lo"), f"{label}-met"))
+    met = reduce(DataFrame.unionAll, parts)
     alike = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
     pairs = met.where((F.col("node") != F.col("lo.node")) & alike(F.col("size"), F.col("lo.size"))).select(F.col("lo.node").alias("a"), F.col("node").alias("b"))
     pairs = store(pairs.distinct(), f"{label}-pairs1")
@@ -92,6 +101,6 @@ def groups(nodes: DataFrame, verify, percent: int, label: str) -> DataFrame:
     again = again.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     second = verify(store(again, f"{label}-pairs2"), f"{label}2")
     out = store(components(first.unionAll(second), f"{label}2"), f"{label}-cc2")
-    for x in (met, marked, pairs):
+    for x in (*parts, marked, pairs):
         drop(x)
     return out

@@ -34,7 +34,7 @@ def op2_bpe(spark, sf_dir):
 
 
 def op3_lines(spark, sf_dir):
-    return lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return lines.dedup_lines(table(spark, sf_dir, "documents"), search="grams")
 
 
 def op4_substring(spark, sf_dir):
