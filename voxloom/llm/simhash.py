@@ -183,14 +183,14 @@ def close_links(fps: DataFrame, distance: int, n_blocks: int, spanning: bool = T
 
 
 def classes(docs: DataFrame, distance: int, n_blocks: int, shingle: int, bucket_limit: int, text: str, doc_id: str) -> DataFrame:
-    """``d``, ``k``, ``fp`` and ``component`` (smallest ``d`` reachable) for each row."""
+    """``d``, ``k``, ``fp``, ``component`` (smallest ``fp`` reachable) and ``low`` (smallest ``d`` reachable) for each row."""
     rows = store(fingerprints(docs, shingle, text, doc_id), "simhash")
     first = store(rows.groupBy("fp").agg(F.min("d").alias("first")), "simhash-fp")
     links = close_links(first.select("fp"), distance, n_blocks, True, bucket_limit, "simhash")
     node = store(components(links, "simhash"), "simhash-cc")
     low = node.join(first, node.node == first.fp).groupBy("component").agg(F.min("first").alias("low"))
-    joined = node.join(low, "component").select(F.col("node").alias("fp"), "low")
-    label = first.join(joined, "fp", "left").select("fp", F.coalesce("low", "first").alias("component"))
+    joined = node.join(low, "component").select(F.col("node").alias("fp"), "component", "low")
+    label = first.join(joined, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"), F.coalesce("low", "first").alias("low"))
     return rows.join(label, "fp")
 
 
@@ -210,7 +210,7 @@ def near_duplicates(docs: DataFrame, distance: int = 2, n_blocks: int = 4, shing
     38 bits for 2 bits' distance); the result is the same.
     """
     found = classes(docs, distance, n_blocks, shingle, bucket_limit, text, doc_id)
-    return found.select(real_id("d").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), real_id("component").alias("component_id"))
+    return found.select(real_id("d").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), real_id("low").alias("component_id"))
 
 
 def rows_kept(docs: DataFrame, found: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -230,4 +230,4 @@ def keep_one(docs: DataFrame, distance: int = 2, n_blocks: int = 4, shingle: int
     Where rows of one component repeat that doc_id, one of them stays.
     """
     found = classes(docs, distance, n_blocks, shingle, bucket_limit, text, doc_id)
-    return rows_kept(docs, found.where("d = component"), text, doc_id)
+    return rows_kept(docs, found, text, doc_id)
