@@ -29,6 +29,8 @@ from .simhash import close_links
 
 #: Lines of fewer words are never removed: short ones coincide by chance.
 MIN_WORDS = 5
+#: With the gram search, lines of fewer words that have so many characters take part too.
+MIN_CHARS = 20
 #: Least edit similarity of linked lines, in percent; bits in which their fingerprints may differ; blocks of a fingerprint.
 SIMILARITY, DISTANCE, BLOCKS = 80, 3, 5
 #: Keys by the length of a line in characters: name, least, end, bytes of a gram, scheme.  The longer two unlike lines are, the more
@@ -46,9 +48,10 @@ SLICE = 1 << 18
 _NORMAL = bytes(b if b == 10 or b > 127 else ord("0") if 48 <= b <= 57 else b | 32 if chr(b).isalpha() else 32 for b in range(256))
 
 
-def normal_lines(text: bytes, min_words: int = MIN_WORDS) -> list[tuple[int, list[bytes]]]:
-    """Number (from 0) and normalised words of each line with at least min_words of them."""
-    return [(i, w) for i, line in enumerate(text.translate(_NORMAL).split(b"\n")) if len(w := line.split()) >= min_words]
+def normal_lines(text: bytes, min_words: int = MIN_WORDS, min_chars: int | None = None) -> list[tuple[int, list[bytes]]]:
+    """Number (from 0) and normalised words of each line with at least min_words of them, or min_chars characters in all."""
+    long = lambda w: min_chars is not None and len(b" ".join(w).decode("utf-8", "replace")) >= min_chars
+    return [(i, w) for i, line in enumerate(text.translate(_NORMAL).split(b"\n")) if len(w := line.split()) >= min_words or long(w)]
 
 
 def simhashes(lines: list[list[bytes]]) -> np.ndarray:
@@ -117,7 +120,7 @@ def gram_keys(lines: list[bytes], gram: int, scheme: Scheme) -> np.ndarray:
     return (scheme.of(grams, end - size, np.maximum(end - gram + 1, end - size + 1)) >> 32).astype(np.int32)
 
 
-def _gram_rows(min_words: int):
+def _gram_rows(min_words: int, min_chars: int):
     def keys(lines, size, least, end, gram, scheme):
         """A list of keys for lines of the scheme's length, null for others."""
         which = np.flatnonzero((size >= least) & (size < (end or np.inf)))
@@ -140,7 +143,7 @@ def _gram_rows(min_words: int):
 
             held = 0
             for i, t in enumerate(batch.column("_t").to_pylist()):
-                for n, w in normal_lines(t, min_words):
+                for n, w in normal_lines(t, min_words, min_chars):
                     lines.append(b" ".join(w))
                     number.append(n)
                     docs.append(i)
@@ -155,14 +158,14 @@ def _gram_rows(min_words: int):
     return run
 
 
-def _wanted(min_words: int):
+def _wanted(min_words: int, min_chars: int | None):
     """The normalised lines that ``wanted`` (line, h1) names."""
 
     def run(batches):
         for batch in batches:
             ids, texts = [], []
             for t, wanted in zip(batch.column("_t").to_pylist(), batch.column("wanted").to_pylist()):
-                own = dict(normal_lines(t, min_words))
+                own = dict(normal_lines(t, min_words, min_chars))
                 for x in wanted:
                     ids.append(x["h1"])
                     texts.append(b" ".join(own[x["line"]]).decode("utf-8", "replace"))
@@ -171,12 +174,12 @@ def _wanted(min_words: int):
     return run
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: int, min_words: int, label: str) -> DataFrame:
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: int, min_words: int, label: str, min_chars: int | None = None) -> DataFrame:
     """The pairs (a, b: ids of lines) whose edit similarity, 1 - distance / longer length, is at least similarity percent."""
     pairs = store(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{label}-pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
     wanted = ids.join(nodes.select("h1", "first"), "h1").groupBy(F.col("first.d").alias("d"), F.col("first.k").alias("k")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "h1")).alias("wanted"))
-    texts = docs.join(wanted, (docs["_d"] == wanted["d"]) & (docs["_k"] == wanted["k"])).select("_t", "wanted").mapInArrow(_wanted(min_words), "h long, t string")
+    texts = docs.join(wanted, (docs["_d"] == wanted["d"]) & (docs["_k"] == wanted["k"])).select("_t", "wanted").mapInArrow(_wanted(min_words, min_chars), "h long, t string")
     texts = store(texts.dropDuplicates(["h"]), f"{label}-texts")
     a, b = texts.select(F.col("h").alias("a"), F.col("t").alias("ta")), texts.select(F.col("h").alias("b"), F.col("t").alias("tb"))
     most = f"cast((greatest(length(ta), length(tb)) * {100 - similarity}) div 100 as int)"
@@ -221,13 +224,13 @@ def repeated_lines(docs: DataFrame, min_words: int, similarity: int, distance: i
 
 def similar_lines(docs: DataFrame, min_words: int, similarity: int) -> DataFrame:
     """As repeated_lines, by MinHash keys of grams."""
-    lines = store(docs.mapInArrow(_gram_rows(min_words), "d long, k long, line int, h1 long, h2 long, size long" + "".join(f", {x[0]} array<int>" for x in SCHEMES)), "lines")
+    lines = store(docs.mapInArrow(_gram_rows(min_words, MIN_CHARS), "d long, k long, line int, h1 long, h2 long, size long" + "".join(f", {x[0]} array<int>" for x in SCHEMES)), "lines")
     one = lambda c: F.first(c, ignorenulls=True).alias(c)
     nodes = store(lines.groupBy("h1", "h2").agg(F.min(F.struct("d", "k", "line")).alias("first"), F.count("*").alias("n"), one("size"), *(one(x[0]) for x in SCHEMES)), "lines-node")
     own = lambda c, at: F.coalesce(F.transform(c, lambda x, i: (i + at).cast("long") * (1 << 32) + x.cast("long")), F.array().cast("array<long>"))
     keys = F.concat(*(own(x[0], 100 * i) for i, x in enumerate(SCHEMES)))
     keyed_nodes = nodes.select(F.col("h1").alias("node"), "size", keys.alias("keys"))
-    group = groups(keyed_nodes, lambda pairs, label: _verified(pairs, nodes, docs, similarity, min_words, label), similarity, "lines", PASSES)
+    group = groups(keyed_nodes, lambda pairs, label: _verified(pairs, nodes, docs, similarity, min_words, label, MIN_CHARS), similarity, "lines", PASSES)
     out = _gone(lines, nodes, group)
     for x in (lines, nodes):
         drop(x)
@@ -264,7 +267,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: int = S
     linked where their normalised forms are equal, or where the search finds them and
     their edit similarity is ``similarity`` percent or more.  search:
     ``fingerprints`` finds lines whose SimHashes (over distinct words) differ in at most
-    ``distance`` bits, ``grams`` those that share a MinHash key of their grams, with no such bound.  Of each connected group the occurrence
+    ``distance`` bits, ``grams`` those that share a MinHash key of their grams, with no such
+    bound; lines of at least MIN_CHARS characters then take part whatever their words.  Of each connected group the occurrence
     in the smallest doc_id, then the earliest line, stays; all others go.  Kept
     lines are unchanged and joined by line feeds.  A null or empty text has one
     empty line, which stays.  Rows that repeat both id and text count as one
