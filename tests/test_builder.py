@@ -4,6 +4,7 @@ import wave
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from voxloom.functions import text
 from voxloom.operators import relational
@@ -52,6 +53,113 @@ def test_build(spark, folder):
     assert spoken and all(r.text.startswith("Speaker 0: ") and 0 < r.duration <= 25 for r in spoken)
 
 
+class Counting:
+    """Models that note each call in a folder: two speakers in turn every 4 s, and a text that ends a sentence."""
+
+    def __init__(self, folder):
+        self.folder = str(folder)
+
+    def note(self, kind, n=1):
+        import os
+        import uuid
+
+        for _ in range(n):
+            open(os.path.join(self.folder, f"{kind}-{uuid.uuid4().hex}"), "w").close()
+
+    def detect(self, samples, rate):
+        return [(0, len(samples))]
+
+    def diarize(self, samples, rate):
+        self.note("diarize")
+        return [f"{a:.2f} {min(a + 4, len(samples) / rate):.2f} speaker_{a // 4 % 2}" for a in range(0, int(len(samples) / rate), 4)]
+
+    def transcribe(self, batch):
+        self.note("transcribe", len(batch))
+        return [f"Said in {len(x) / r:.1f} s." for x, r in batch]
+
+
+def test_every_model_call_is_made_once(spark, tmp_path):
+    """Chunks go through the diarizer once and clips through the recogniser once; sounds and prompts that items name exist."""
+    sounds, calls, out = tmp_path / "in", tmp_path / "calls", tmp_path / "out"
+    for d in (sounds, calls):
+        d.mkdir()
+    for name in ("a", "b"):
+        (sounds / f"{name}.wav").write_bytes(readers.encode_wav(tone(40), 16_000))
+    model = Counting(calls)
+    items = builder.build_dataset(spark, str(sounds), model, model, model, max_duration=12.0, output=str(out), chunk=30.0).collect()
+    made = [p.name.split("-")[0] for p in calls.iterdir()]
+    # chunks of 30 and 10 s: eight and three turns each
+    assert made.count("diarize") == 4 and made.count("transcribe") == 2 * (8 + 3)
+    assert len(items) == 8 and [r.audio for r in items] == sorted(r.audio for r in items)
+    for r in items:
+        with wave.open(r.audio) as w:
+            assert w.getframerate() == 24_000 and abs(w.getnframes() / 24_000 - r.duration) < 2.1
+        assert len(r.voice_prompts) == r.text.count("Said") and all(wave.open(p).getnframes() > 0 for p in r.voice_prompts)
+    frame = readers.decode_audio(readers.audio_files(spark, str(sounds)), 16_000)
+    samples, _ = builder.build_samples(frame, model, model, 12.0, 4, 30.0, model)
+    plan = samples._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") <= 12 and plan.count("Join") <= 20
+
+
+def test_files_that_cannot_be_read_are_named(spark, folder):
+    audio = readers.decode_audio(readers.audio_files(spark, folder), 16_000)
+    assert [(r.path.rsplit("/", 1)[1], bool(r.error)) for r in builder.unreadable(audio).collect()] == [("bad.wav", True)]
+
+    class Decoder:
+        def decode(self, content, suffix):
+            return np.ones((2, 800), dtype=np.float32), 8_000
+
+    (p,) = [x for x in (folder,)]
+    files = readers.audio_files(spark, p).withColumn("path", F.regexp_replace("path", "bad.wav", "bad.mp3"))
+    got = {r.path.rsplit("/", 1)[1]: r for r in readers.decode_audio(files, None, Decoder()).collect()}
+    assert got["bad.mp3"].error is None and len(got["bad.mp3"].samples) == 800
+
+
+def test_a_diarizer_that_fails_has_a_second_one():
+    class Full:
+        def diarize(self, samples, rate):
+            raise MemoryError
+
+    assert providers.WithFallback(Full(), providers.OneSpeaker()).diarize(tone(2), 16_000)
+
+
+def test_denoising_happens_once_per_file(spark, folder):
+    class Model:
+        def denoise(self, samples, rate):
+            return samples * 0 + 0.25
+
+        def enhance(self, samples, rate, nfe=0):
+            return samples * nfe, rate
+
+    audio = readers.decode_audio(readers.audio_files(spark, folder), 16_000).where("path like '%a.wav'")
+    options = relational.sweep(spark, [2, 4], [0.5], [1.0]).select("combo", "nfe")
+    got = builder.enhance(audio, Model(), options=options).collect()
+    assert sorted((r.combo, r.samples[0]) for r in got) == [(0, 0.5), (1, 1.0)] and len({r.t_denoise for r in got}) == 1
+    totals = relational.sweep_totals(builder.enhance(audio, Model(), options=options)).first()
+    assert totals.n == 2 and totals.audio_duration == 26.0
+
+
+def test_corpus_speakers_keep_all_their_fields(spark, tmp_path):
+    record = {"segment_id": "9", "audio_path": "x.wav", "num_speakers": 1, "transcription_text": "a", "speakers": [{"speaker_id": "s", "name": "Åse", "party": "X"}], "split": "t", "duration": 12.0}
+    (tmp_path / "m.jsonl").write_text("\n".join(json.dumps({**record, "segment_id": str(i)}, ensure_ascii=False) for i in (9, 10, 8)))
+    meta = readers.json_lines(spark, str(tmp_path / "m.jsonl"))
+    got = builder.corpus_records(meta, limit=2).collect()
+    assert sorted(r.segment_id for r in got) == ["10", "9"] and all(json.loads(r.speakers) == record["speakers"] for r in got)
+
+
+def test_missing_files_are_counted(spark):
+    names = spark.createDataFrame([(f"n{i:03d}",) for i in range(23)], "name string")
+    text = builder.missing_report(names)
+    assert text.startswith("23 required") and text.endswith("… and 3 more") and "n019" in text and "n020" not in text
+    assert builder.missing_report(names.limit(0)) is None
+
+
+def test_numbers_over_ranges(spark):
+    df = spark.createDataFrame([(i * 7 % 50, "x", i) for i in range(200)], "a int, _range string, b int").repartition(5)
+    got = relational.numbered(df, "n", "a", "b").orderBy("n").collect()
+    assert [r.n for r in got] == list(range(200)) and [(r.a, r.b) for r in got] == sorted((r.a, r.b) for r in got) and got[0]._range == "x"
+
+
 def test_enhance_reports_failures(spark, folder):
     class Fussy:
         def enhance(self, samples, rate, nfe=0):
@@ -77,7 +185,7 @@ def test_corpus(spark, tmp_path):
     (tmp_path / "m.jsonl").write_text("\n".join(map(json.dumps, lines)))
     meta = readers.json_lines(spark, str(tmp_path / "m.jsonl"))
     got = {r.segment_id: r for r in builder.corpus_records(meta, spark.createDataFrame([("w.wav", 3.0)], "path string, duration double")).collect()}
-    assert sorted(got) == ["1", "2", "4"] and got["1"].text == "Hei. Æ du" and got["4"].duration == 3.0
+    assert sorted(got) == ["1", "2", "4"] and got["1"].text == "Speaker 0: Hei. Æ du" and got["4"].duration == 3.0
     assert got["1"].voice_prompts == ["x.wav"] and got["2"].voice_prompts == ["x.wav"] and got["4"].voice_prompts == []
     writers.save_splits(builder.corpus_records(meta), str(tmp_path / "out"))
     assert readers.dataset(spark, str(tmp_path / "out"), "train").count() == 2

@@ -51,8 +51,10 @@ def merged(rows, cap=None):
 
 
 def test_merge(df, rows):
-    assert sorted(map(tuple, sequences.merge_adjacent(df).collect())) == merged(rows)
-    assert sorted(map(tuple, sequences.merge_adjacent_capped(df).collect())) == merged(rows, 25.0)
+    columns = ("file", "idx", "st", "en", "spk", "n")
+    for got, want in ((sequences.merge_adjacent(df), merged(rows)), (sequences.merge_adjacent_capped(df), merged(rows, 25.0))):
+        assert sorted(map(tuple, got.select(*columns).collect())) == want
+        assert all(len(r.source_speaker_ids) == r.n and not r.source_chunk_indices and r.chunk_index is None for r in got.collect())
 
 
 def smoothed(own):

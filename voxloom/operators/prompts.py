@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import canonical_speaker
+from ..scratch import free_name
 
 PIPELINE_RANGE, CORPUS_RANGE = (3.0, 15.0), (10.0, 25.0)
 CACHE = 50
@@ -51,16 +51,35 @@ def select_prompts(wanted: DataFrame, flat: DataFrame, sample: list[str], order:
 def rolling_cache(df: DataFrame, limits=CORPUS_RANGE, size: int = CACHE) -> DataFrame:
     """Adds ``available``: paths of the speaker's last ``size`` eligible rows up to and with this one, but its own.
 
-    Rows: ``spk, seq, path, duration``.  Only eligible rows move the frame.
+    Rows: ``spk, seq, path, duration``.  The cache is made for the eligible rows
+    alone, numbered within the speaker; every row joins the one of its number.
     """
-    w = Window.partitionBy("spk").orderBy("seq")
+    k, held = free_name(df, "_k"), free_name(df, "_held")
     fits = F.col("duration").between(*limits)
-    out = df.withColumn("_k", F.sum(F.when(fits, 1).otherwise(0)).over(w))
-    frame = Window.partitionBy("spk").orderBy("_k").rangeBetween(-(size - 1), 0)
-    held = F.collect_list(F.when(fits, F.struct("seq", "path"))).over(frame)
-    now = F.filter(held, lambda x: (x["seq"] <= F.col("seq")) & (x["path"] != F.col("path")))
-    return out.withColumn("available", F.transform(F.array_sort(now), lambda x: x["path"])).drop("_k")
+    own = df.withColumn(k, F.sum(F.when(fits, 1).otherwise(0)).over(Window.partitionBy("spk").orderBy("seq")))
+    last = Window.partitionBy("spk").orderBy(k).rowsBetween(-(size - 1), 0)
+    cache = own.where(fits).select("spk", k, F.collect_list("path").over(last).alias(held))
+    out = own.join(cache, ["spk", k], "left")
+    available = F.filter(F.coalesce(held, F.array().cast("array<string>")), lambda x: x != F.col("path"))
+    return out.withColumn("available", available).select(*df.columns, "available")
 
 
-def speaker_of(c) -> Column:
-    return canonical_speaker(c)
+def sole_source(rows: DataFrame) -> DataFrame:
+    """Rows of one source speaker and one source chunk, with ``source_spk`` and ``source_chunk``."""
+    own = rows.where(single_source(F.col("source_speaker_ids"), F.col("source_chunk_indices")))
+    return own.withColumns({"source_spk": F.get("source_speaker_ids", F.lit(0)), "source_chunk": F.get(F.array_compact("source_chunk_indices"), F.lit(0))})
+
+
+def sample_prompts(rows: DataFrame, flat: DataFrame, seed: int = 0) -> DataFrame:
+    """``file, sample, voice_prompts``: for each utterance, in order, a clip of its speaker in its chunk; no row where any has none.
+
+    rows: ``file, sample, idx`` and the lists of sources; flat: ``file, source_chunk, source_spk, path``.
+    An utterance of several speakers or chunks has no prompt.  The choice is by
+    a hash of the utterance: of a speaker's clips, which lie in one chunk of one file, the one with the least.
+    """
+    named = sole_source(rows).select("file", "sample", "idx", "source_spk", "source_chunk")
+    near = named.join(flat, ["file", "source_chunk", "source_spk"])
+    pick = near.groupBy("file", "sample", "idx").agg(F.min_by("path", F.struct(F.xxhash64("path", "idx", F.lit(seed)), "path")).alias("path"))
+    every = rows.groupBy("file", "sample").agg(F.count("*").alias("n"))
+    got = pick.groupBy("file", "sample").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "path"))), lambda x: x["path"]).alias("voice_prompts"))
+    return got.join(every, ["file", "sample"]).where(F.size("voice_prompts") == F.col("n")).select("file", "sample", "voice_prompts")

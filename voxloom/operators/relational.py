@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import free_name, store
+
 
 def at_most_speakers(df: DataFrame, most: int = 4) -> DataFrame:
     return df.where(F.col("num_speakers") <= most)
@@ -76,11 +78,39 @@ def first_seen(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
-    """One after another by name, missing columns null, ``_src`` telling which."""
+    """One after another by name, missing columns null, ``_src`` telling which; a frame that has such a column is an error."""
+    if any("_src" in f.columns for f in frames):
+        raise ValueError("a dataset already has a column _src")
     tagged = [f.withColumn("_src", F.lit(i)) for i, f in enumerate(frames)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
+def numbered(df: DataFrame, name: str, *order: str) -> DataFrame:
+    """Rows numbered from 0 in order: counted within ranges of it, each by a task of its own, after a row per range has told how many lie before."""
+    at, where = free_name(df, "_range"), free_name(df, "_before")
+    own = store(df.repartitionByRange(*order).withColumn(at, F.spark_partition_id()), "numbered")
+    sizes, before = own.groupBy(at).agg(F.count("*").alias("n")).collect(), 0
+    rows = []
+    for r in sorted(sizes):
+        rows.append((r[0], before))
+        before += r.n
+    starts = df.sparkSession.createDataFrame(rows, f"{at} int, {where} long")
+    w = Window.partitionBy(at).orderBy(*order)
+    return own.join(F.broadcast(starts), at).withColumn(name, F.col(where) + F.row_number().over(w) - 1).drop(at, where)
+
+
+def head_and_more(df: DataFrame, column: str, n: int = 20) -> tuple[list[str], int]:
+    """The first n values in order, and how many more there are."""
+    first = [r[0] for r in df.select(column).orderBy(column).limit(n).collect()]
+    return first, max(0, df.count() - n) if len(first) == n else 0
+
+
+def sweep_totals(df: DataFrame) -> DataFrame:
+    """``n, t_enhance, audio_duration, rtf`` over all rows of a sweep."""
+    out = df.agg(F.count("*").alias("n"), F.coalesce(F.sum("t_enhance"), F.lit(0.0)).alias("t_enhance"), F.coalesce(F.sum("audio_duration"), F.lit(0.0)).alias("audio_duration"))
+    return out.withColumn("rtf", rtf(F.col("t_enhance"), F.col("audio_duration")))
+
+
 def merge_datasets(frames: list[DataFrame]) -> DataFrame:
     if len(frames) < 2:
         raise ValueError("merging takes at least two datasets")

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import canonical_speaker, item_text, normalize_text, strip
+from ..scratch import free_name
 
 
 def number_speakers(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Adds ``local``: 0 for the speaker that comes first within the keys, and so on."""
-    who = canonical_speaker("spk")
-    first = F.min(order).over(Window.partitionBy(*keys, "_who"))
-    out = df.withColumn("_who", who).withColumn("_first", first)
-    return out.withColumn("local", F.dense_rank().over(Window.partitionBy(*keys).orderBy("_first")) - 1).drop("_who", "_first")
+    who, first = free_name(df, "_who"), free_name(df, "_first")
+    out = df.withColumn(who, canonical_speaker("spk"))
+    out = out.withColumn(first, F.min(order).over(Window.partitionBy(*keys, who)))
+    return out.withColumn("local", F.dense_rank().over(Window.partitionBy(*keys).orderBy(first)) - 1).drop(who, first)
 
 
 def render(df: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import free_name
+
 # Frame of 20 ms, threshold of -40 dB under the peak, padding of 0.8 s, a peak under 1e-10 is silence.
 FRAME_S, THRESHOLD_DB, PAD_S, SILENCE = 0.02, -40.0, 0.8, 1e-10
 
@@ -60,9 +62,10 @@ def trim_bounds(a: Column, frame: int, pad: int, threshold_db: float = THRESHOLD
 
 def trim_silence(df: DataFrame, samples: str, frame: int, pad: int, threshold_db: float = THRESHOLD_DB) -> DataFrame:
     """Replaces samples by what stays, and adds ``head`` and ``tail``: samples removed."""
-    b = trim_bounds(F.col(samples), frame, pad, threshold_db)
-    out = df.withColumn("_b", b)
-    return out.withColumns({"head": F.col("_b.start"), "tail": F.size(samples) - F.col("_b.end"), samples: cut(F.col(samples), F.col("_b.start"), F.col("_b.end"))}).drop("_b")
+    b = free_name(df, "_b")
+    out = df.withColumn(b, trim_bounds(F.col(samples), frame, pad, threshold_db))
+    start, end = F.col(b)["start"], F.col(b)["end"]
+    return out.withColumns({"head": start, "tail": F.size(samples) - end, samples: cut(F.col(samples), start, end)}).drop(b)
 
 
 def shift_after_trim(df: DataFrame, rate: str = "rate") -> DataFrame:

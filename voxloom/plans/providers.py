@@ -2,8 +2,11 @@
 
 ``detect(samples, rate)`` gives (start, end) in samples; ``diarize(samples,
 rate)`` gives lines ``start end speaker`` in seconds; ``transcribe(batch)`` gives
-a text per (samples, rate); ``enhance(samples, rate, **options)`` gives samples
-and a rate.  The stand-ins need no model files.
+a text per (samples, rate); ``denoise(samples, rate)``, if there is one, gives
+samples, once per file; ``enhance(samples, rate, **options)`` gives samples
+and a rate; ``decode(content, suffix)`` gives (channels, samples) and a rate.
+Language, window and token limits are settings of a model's own, given where it
+is made.  The stand-ins need no model files.
 """
 
 from __future__ import annotations
@@ -29,6 +32,23 @@ class Enhancer(Protocol):
     def enhance(self, samples: np.ndarray, rate: int, **options) -> tuple[np.ndarray, int]: ...
 
 
+class Decoder(Protocol):
+    def decode(self, content: bytes, suffix: str) -> tuple[np.ndarray, int]: ...
+
+
+class WithFallback:
+    """A diarizer that hands a stretch to the second one where the first fails, as when a device runs out of memory."""
+
+    def __init__(self, first: Diarizer, second: Diarizer):
+        self.first, self.second = first, second
+
+    def diarize(self, samples, rate):
+        try:
+            return self.first.diarize(samples, rate)
+        except (MemoryError, RuntimeError):
+            return self.second.diarize(samples, rate)
+
+
 class EnergyVad:
     """Speech is where a frame of 30 ms is louder than a share of the loudest; gaps under 300 ms close."""
 

@@ -108,10 +108,11 @@ def item_format(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", T.item_text("text", speaker).alias("text"))
 
 
-@query("SELECT 'a_b_data' AS name, 6.0::DOUBLE AS total")
+@query("SELECT page_id, replace(url, '/', '_') || '_data' AS name, page_id + 3.0::DOUBLE + page_id % 7 AS total FROM pages")
 def display_and_numbers(spark, sf):
-    one = spark.createDataFrame([(["a/b", "/x/data/"], "1, 2.5,2.5")], "paths array<string>, list string")
-    return one.select(T.display_name("paths").alias("name"), F.aggregate(T.numbers("list"), F.lit(0.0), lambda a, x: a + x).alias("total"))
+    lists = F.format_string("%d, 2.5,%d.5", "page_id", F.col("page_id") % 7)
+    total = F.aggregate(T.numbers(lists), F.lit(0.0), lambda a, x: a + x)
+    return table(spark, sf, "pages").select("page_id", T.display_name(F.array(F.col("url"), F.lit("/x/data/"))).alias("name"), total.alias("total"))
 
 
 # --- filters, aggregates, joins, sets
@@ -195,19 +196,21 @@ def merge_datasets(spark, sf):
     return relational.merge_datasets([d.where("source = 'src1'").select("doc_id", "lang"), d.where("source = 'src2'").select("doc_id", "n_chars")])
 
 
-@query("SELECT source, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY source")
+@query("SELECT doc_id, source, n_chars, 0 AS _src FROM documents WHERE source = 'src0' UNION ALL SELECT doc_id, source, n_chars, 1 FROM documents WHERE source = 'src1' UNION ALL SELECT doc_id, source, n_chars, 2 FROM documents WHERE source = 'src2'")
 def union_splits(spark, sf):
-    d = table(spark, sf, "documents")
-    return d.groupBy("source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+    """All splits of a dataset as one, each by itself."""
+    d = table(spark, sf, "documents").select("doc_id", "source", "n_chars")
+    return relational.union_all([d.where(F.col("source") == s) for s in ("src0", "src1", "src2")])
 
 
 @query("""WITH c AS (SELECT (row_number() OVER (ORDER BY i, j, k) - 1)::INTEGER AS combo, n AS nfe, l AS lambd, t AS tau FROM
   (SELECT unnest([16, 32, 64]) AS n, unnest([0, 1, 2]) AS i), (SELECT unnest([0.1, 0.5, 0.9]::DOUBLE[]) AS l, unnest([0, 1, 2]) AS j), (SELECT unnest([0.0, 0.5, 1.0]::DOUBLE[]) AS t, unnest([0, 1, 2]) AS k))
-SELECT combo, nfe, lambd, tau, count(*) AS n, max(value) AS longest FROM c JOIN events e ON e.event_id % 27 = c.combo GROUP BY ALL""")
+SELECT combo, nfe, lambd, tau, count(*) AS n, max(value) AS longest FROM c JOIN events e ON e.event_id % 27 = c.combo GROUP BY GROUPING SETS ((combo, nfe, lambd, tau), ())""")
 def param_sweep(spark, sf):
     c = relational.sweep(spark, [16, 32, 64], [0.1, 0.5, 0.9], [0.0, 0.5, 1.0])
     e = table(spark, sf, "events").select((F.col("event_id") % 27).cast("int").alias("combo"), "value")
-    return e.join(F.broadcast(c), "combo").groupBy("combo", "nfe", "lambd", "tau").agg(F.count("*").alias("n"), F.max("value").alias("longest"))
+    keys = [F.col(k) for k in ("combo", "nfe", "lambd", "tau")]
+    return e.join(F.broadcast(c), "combo").groupingSets([keys, []], *keys).agg(F.count("*").alias("n"), F.max("value").alias("longest"))
 
 
 @query("""WITH e AS (SELECT (event_id % 7) / 8.0::DOUBLE AS t, (event_id % 5)::DOUBLE AS a FROM events), s AS (SELECT sum(t) AS t, sum(a) AS a, count(*) AS n FROM e)
@@ -233,13 +236,28 @@ def exclusion_filter(spark, sf):
 # --- intervals
 
 
+def chunked(df: DataFrame) -> DataFrame:
+    """Turns as three chunks in turn would name their speakers."""
+    at = (F.col("seq") % 3).cast("int")
+    return df.withColumns({"spk": F.format_string("chunk_%05d_%s", at, F.col("spk")), "chunk_index": at})
+
+
+def source_columns(df: DataFrame) -> DataFrame:
+    """The lists of sources as text."""
+    speakers, chunks = F.array_join("source_speaker_ids", ","), F.array_join(F.transform("source_chunk_indices", lambda x: x.cast("string")), ",")
+    return df.withColumns({"speakers": speakers, "chunks": chunks}).drop("source_speaker_ids", "source_chunk_indices")
+
+
+SOURCES = """CASE WHEN min(seq % 3) = max(seq % 3) THEN min(seq % 3)::INTEGER END AS chunk_index, string_agg(printf('chunk_%05d_%s', seq % 3, spk), ',' ORDER BY rn) AS speakers, string_agg((seq % 3)::VARCHAR, ',' ORDER BY rn) AS chunks"""
+
+
 @query(f"""WITH {TURNS}, r AS (SELECT *, CASE WHEN lag(spk) OVER w IS NOT DISTINCT FROM spk THEN 0 ELSE 1 END AS b FROM o WINDOW w AS (PARTITION BY file ORDER BY rn)),
 s AS (SELECT *, sum(b) OVER (PARTITION BY file ORDER BY rn) AS run FROM r),
 g AS (SELECT *, CASE WHEN st - max(en) OVER (PARTITION BY file, run ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 3600.0 THEN 0 ELSE 1 END AS c FROM s),
 i AS (SELECT *, sum(c) OVER (PARTITION BY file ORDER BY rn) AS island FROM g)
-SELECT file, (island - 1)::INTEGER AS idx, min(st) AS st, max(en) AS en, min(spk) AS spk, count(*) AS n FROM i GROUP BY file, island""")
+SELECT file, (island - 1)::INTEGER AS idx, min(st) AS st, max(en) AS en, min(spk) AS spk, count(*) AS n, {SOURCES} FROM i GROUP BY file, island""")
 def merge_adjacent(spark, sf):
-    return sequences.merge_adjacent(turns(spark, sf), 3600.0)
+    return source_columns(sequences.merge_adjacent(chunked(turns(spark, sf)), 3600.0))
 
 
 @query(f"""WITH RECURSIVE {TURNS}, f AS (
@@ -247,10 +265,12 @@ def merge_adjacent(spark, sf):
   UNION ALL
   SELECT file, rn, CASE WHEN j THEN idx ELSE idx + 1 END, CASE WHEN j THEN st ELSE ost END, CASE WHEN j THEN greatest(en, oen) ELSE oen END, ospk, CASE WHEN j THEN n + 1 ELSE 1 END FROM (
     SELECT f.file, o.rn, f.idx, f.st, f.en, f.n, o.st AS ost, o.en AS oen, o.spk AS ospk, o.spk = f.spk AND o.st - f.en <= 3600.0 AND greatest(f.en, o.en) - f.st <= 20000.0 AS j
-    FROM f JOIN o ON o.file = f.file AND o.rn = f.rn + 1))
-SELECT file, idx, st, en, spk, n FROM f QUALIFY row_number() OVER (PARTITION BY file, idx ORDER BY rn DESC) = 1""")
+    FROM f JOIN o ON o.file = f.file AND o.rn = f.rn + 1)),
+m AS (SELECT file, idx, st, en, spk, n FROM f QUALIFY row_number() OVER (PARTITION BY file, idx ORDER BY rn DESC) = 1),
+c AS (SELECT file, idx, {SOURCES} FROM (SELECT f.file, f.idx, o.rn, o.seq, o.spk FROM f JOIN o USING (file, rn)) GROUP BY file, idx)
+SELECT * FROM m JOIN c USING (file, idx)""")
 def merge_adjacent_capped(spark, sf):
-    return sequences.merge_adjacent_capped(turns(spark, sf), 3600.0, 20000.0)
+    return source_columns(sequences.merge_adjacent_capped(chunked(turns(spark, sf)), 3600.0, 20000.0))
 
 
 @query(f"""WITH {TURNS}, p AS (SELECT file, seq, st, en, spk, unnest(range(0, greatest(ceil((en - st) / 5000.0::DOUBLE)::BIGINT, 1))) AS i FROM o)
@@ -295,12 +315,12 @@ def vad_chunks(spark, sf):
     return sequences.vad_chunks(turns(spark, sf), 30000.0, 1.0)
 
 
-@query("""WITH l AS (SELECT event_id, user_id % 7 AS c, printf('%.2f %.2f spk%d', (event_id % 50) / 4.0, (event_id % 50) / 4.0 + 3, event_id % 3) AS line FROM events),
-t AS (SELECT event_id, c, string_split(line, ' ') AS t FROM l)
+@query("""WITH l AS (SELECT event_id, user_id % 7 AS c, CASE event_id % 11 WHEN 0 THEN '' WHEN 1 THEN '1.00 2.00' ELSE printf('%.2f %.2f spk%d', (event_id % 50) / 4.0, (event_id % 50) / 4.0 + 3, event_id % 3) END AS line FROM events),
+t AS (SELECT event_id, c, string_split(line, ' ') AS t FROM l WHERE len(string_split(line, ' ')) >= 3)
 SELECT event_id AS file, c * 10 + t[1]::DOUBLE AS st, least(c * 10 + t[2]::DOUBLE, c * 10 + 10.0::DOUBLE) AS en, printf('chunk_%05d_%s', c, t[3]) AS spk, c::INTEGER AS chunk_index FROM t WHERE least(c * 10 + t[2]::DOUBLE, c * 10 + 10.0) > c * 10 + t[1]::DOUBLE""")
 def diarization_lines(spark, sf):
     at, c = (F.col("event_id") % 50) / 4.0, (F.col("user_id") % 7).cast("int")
-    rows = table(spark, sf, "events").select(F.col("event_id").alias("file"), c.alias("chunk_index"), (c * 10).cast("double").alias("chunk_start"), (c * 10 + 10).cast("double").alias("chunk_end"), F.format_string("%.2f %.2f spk%d", at, at + 3, F.col("event_id") % 3).alias("line"))
+    rows = table(spark, sf, "events").select(F.col("event_id").alias("file"), c.alias("chunk_index"), (c * 10).cast("double").alias("chunk_start"), (c * 10 + 10).cast("double").alias("chunk_end"), F.when(F.col("event_id") % 11 == 0, "").when(F.col("event_id") % 11 == 1, "1.00 2.00").otherwise(F.format_string("%.2f %.2f spk%d", at, at + 3, F.col("event_id") % 3)).alias("line"))
     return sequences.parse_turns(rows)
 
 
@@ -310,23 +330,29 @@ def diarization_lines(spark, sf):
 @query(f"""WITH {UTTERANCES}, u AS (SELECT *, trim(text, ' \n\t') AS t FROM utts WHERE trim(text, ' \n\t') <> ''),
 j AS (SELECT *, CASE WHEN lag(spk) OVER w = spk AND NOT regexp_matches(lag(t) OVER w, '[.?!]$') THEN 0 ELSE 1 END AS b FROM u WINDOW w AS (PARTITION BY file ORDER BY idx)),
 p AS (SELECT *, sum(b) OVER (PARTITION BY file ORDER BY idx) AS part FROM j)
-SELECT file, (part - 1)::INTEGER AS idx, min(st) AS st, max(en) AS en, min_by(spk, idx) AS spk, string_agg(t, ' ' ORDER BY idx) AS text, count(*) AS n FROM p GROUP BY file, part""".replace(r"' \n\t'", r"' ' || chr(10) || chr(9)"))
+SELECT file, (part - 1)::INTEGER AS idx, min(st) AS st, max(en) AS en, min_by(spk, idx) AS spk, string_agg(t, ' ' ORDER BY idx) AS text, count(*) AS n, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS sources FROM p GROUP BY file, part""".replace(r"' \n\t'", r"' ' || chr(10) || chr(9)"))
 def merge_transcripts(spark, sf):
-    return sequences.merge_transcripts(utterances(spark, sf))
+    return utterance_sources(sequences.merge_transcripts(utterances(spark, sf)))
+
+
+def utterance_sources(df: DataFrame) -> DataFrame:
+    """The joined utterances as text, without the lists that these have none for."""
+    out = df.withColumn("sources", F.array_join(F.transform("source_utterance_indices", lambda x: x.cast("string")), ","))
+    return out.drop("source_utterance_indices", "source_speaker_ids", "source_chunk_indices")
 
 
-CAPPED = f"""{UTTERANCES}, u AS (SELECT file, row_number() OVER (PARTITION BY file ORDER BY idx) AS rn, st, en, spk, trim(text, ' ' || chr(10) || chr(9)) AS t FROM utts WHERE trim(text, ' ' || chr(10) || chr(9)) <> ''), f AS (
-  SELECT file, rn, 0 AS idx, st, en, spk, t AS text, 1::BIGINT AS n FROM u WHERE rn = 1
+CAPPED = f"""{UTTERANCES}, u AS (SELECT file, row_number() OVER (PARTITION BY file ORDER BY idx) AS rn, idx AS own, st, en, spk, trim(text, ' ' || chr(10) || chr(9)) AS t FROM utts WHERE trim(text, ' ' || chr(10) || chr(9)) <> ''), f AS (
+  SELECT file, rn, 0 AS idx, st, en, spk, t AS text, 1::BIGINT AS n, own::VARCHAR AS sources FROM u WHERE rn = 1
   UNION ALL
-  SELECT file, rn, CASE WHEN j THEN idx ELSE idx + 1 END, CASE WHEN j THEN st ELSE ost END, CASE WHEN j THEN greatest(en, oen) ELSE oen END, ospk, CASE WHEN j THEN text || ' ' || ot ELSE ot END, CASE WHEN j THEN n + 1 ELSE 1 END FROM (
-    SELECT f.*, u.rn AS urn, u.st AS ost, u.en AS oen, u.spk AS ospk, u.t AS ot, u.spk = f.spk AND (f.en - f.st) + (u.en - u.st) <= 12.0 AND NOT regexp_matches(f.text, '[.?!]$') AS j
+  SELECT file, rn, CASE WHEN j THEN idx ELSE idx + 1 END, CASE WHEN j THEN st ELSE ost END, CASE WHEN j THEN greatest(en, oen) ELSE oen END, ospk, CASE WHEN j THEN text || ' ' || ot ELSE ot END, CASE WHEN j THEN n + 1 ELSE 1 END, CASE WHEN j THEN sources || ',' || own ELSE own::VARCHAR END FROM (
+    SELECT f.*, u.rn AS urn, u.own, u.st AS ost, u.en AS oen, u.spk AS ospk, u.t AS ot, u.spk = f.spk AND (f.en - f.st) + (u.en - u.st) <= 12.0 AND NOT regexp_matches(f.text, '[.?!]$') AS j
     FROM f JOIN u ON u.file = f.file AND u.rn = f.rn + 1)
-), m AS (SELECT file, idx, st, en, spk, text, n FROM f QUALIFY row_number() OVER (PARTITION BY file, idx ORDER BY rn DESC) = 1)""".replace("SELECT file, rn, CASE WHEN j", "SELECT file, urn, CASE WHEN j")
+), m AS (SELECT file, idx, st, en, spk, text, n, sources FROM f QUALIFY row_number() OVER (PARTITION BY file, idx ORDER BY rn DESC) = 1)""".replace("SELECT file, rn, CASE WHEN j", "SELECT file, urn, CASE WHEN j")
 
 
 @query(f"WITH RECURSIVE {CAPPED} SELECT * FROM m")
 def merge_transcripts_capped(spark, sf):
-    return sequences.merge_transcripts_capped(utterances(spark, sf), 12.0)
+    return utterance_sources(sequences.merge_transcripts_capped(utterances(spark, sf), 12.0))
 
 
 @query(r"""WITH RECURSIVE c AS (SELECT conv_id AS file, turn AS idx, 0.0::DOUBLE AS st, length(text) / 15.0::DOUBLE AS en, role AS spk, text, string_split(regexp_replace(text, '([.?!])\s+', '\1' || chr(1), 'g'), chr(1)) AS x FROM conversations),
@@ -341,7 +367,7 @@ UNION ALL SELECT file, idx::INTEGER, n::INTEGER, begin, en, spk, held FROM s WHE
 UNION ALL SELECT file, idx::INTEGER, 0, st, en, spk, text FROM c WHERE NOT (en - st > 10.0 AND len(x) > 1)""")
 def split_sentences(spark, sf):
     c = table(spark, sf, "conversations").select(F.col("conv_id").alias("file"), F.col("turn").cast("int").alias("idx"), F.lit(0.0).alias("st"), (F.length("text") / 15.0).alias("en"), F.col("role").alias("spk"), "text")
-    return sequences.split_sentences(c, 10.0)
+    return sequences.split_sentences(c, 10.0).select("file", "idx", "piece", "st", "en", "spk", "text")
 
 
 @query(f"""WITH RECURSIVE {UTTERANCES}, u AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY idx) AS rn FROM utts WHERE en > st), f AS (
@@ -415,10 +441,11 @@ def assignment_count(spark, sf):
     return clips(spark, sf).groupBy("spk").agg(F.count_if(F.col("duration").between(10, 25)).alias("assigned"), F.count("*").alias("single"))
 
 
-@query("SELECT user_id, count(DISTINCT event_type) = 1 AS one_speaker, count(DISTINCT nullif(event_id % 3, 0)) = 1 AS one_chunk FROM events GROUP BY user_id")
+@query("SELECT event_id % 2000 AS utterance, count(DISTINCT event_type) = 1 AND count(DISTINCT nullif(event_id % 3, 0)) = 1 AS sole FROM events GROUP BY 1")
 def single_source(spark, sf):
-    e = table(spark, sf, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("s"), F.collect_set(F.nullif(F.col("event_id") % 3, F.lit(0))).alias("c"))
-    return e.select("user_id", (F.size("s") == 1).alias("one_speaker"), (F.size(F.array_compact("c")) == 1).alias("one_chunk"))
+    key = (F.col("event_id") % 2000).alias("utterance")
+    e = table(spark, sf, "events").groupBy(key).agg(F.collect_list("event_type").alias("s"), F.collect_list(F.nullif(F.col("event_id") % 3, F.lit(0))).alias("c"))
+    return e.select("utterance", prompts.single_source(F.col("s"), F.col("c")).alias("sole"))
 
 
 # --- waveforms

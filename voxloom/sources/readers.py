@@ -24,15 +24,24 @@ def audio_files(spark: SparkSession, folder: str, types=AUDIO) -> DataFrame:
 
 
 def json_lines(spark: SparkSession, path: str, schema: str = METADATA) -> DataFrame:
-    """One record per line; a bad line or a missing file is an error."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-
-
-def dataset(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
-    """A saved dataset, all splits or one."""
-    if "://" not in path and not path.startswith(("/", ".")):
-        raise ValueError(f"{path}: datasets of a hub need a reader of your own; give a path")
-    out = spark.read.parquet(path)
+    """One record per line, in ``line_order`` the order of the file; a bad line or a missing file is an error.
+
+    ``speakers_json`` is the text of the line's ``speakers``, whatever fields they have.
+    """
+    at = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).where("trim(value) <> ''").select("value", at.alias("line_order"))
+    record = F.from_json("value", schema, {"mode": "FAILFAST"})
+    return lines.select(record.alias("r"), "line_order", F.get_json_object("value", "$.speakers").alias("speakers_json")).select("r.*", "speakers_json", "line_order")
+
+
+def dataset(spark: SparkSession, path: str, split: str | None = None, hub=None) -> DataFrame:
+    """A saved dataset, all splits or one; ``hub(spark, name)`` reads what is no path."""
+    if "://" not in path and not is_local(path):
+        if hub is None:
+            raise ValueError(f"{path}: datasets of a hub need a reader of your own; give a path")
+        out = hub(spark, path)
+    else:
+        out = spark.read.parquet(path)
     return out if split is None else out.where(F.col("split") == split)
 
 
@@ -62,8 +71,13 @@ def encode_wav(samples, rate: int) -> bytes:
     return out.getvalue()
 
 
-def decode_audio(files: DataFrame, rate: int | None = None) -> DataFrame:
-    """``path, samples, rate, duration, error`` of mono sound, resampled if a rate is given; a file that can't be read has its error and no samples."""
+def decode_audio(files: DataFrame, rate: int | None = None, decoder=None) -> DataFrame:
+    """``path, samples, rate, duration, error`` of mono sound, resampled if a rate is given; a file that can't be read has its error and no samples.
+
+    PCM WAV is read here; ``decoder`` (``decode(content, suffix)``) reads all else.
+    """
+    from os.path import splitext
+
     from ..operators.waveform import resample_array
 
     def run(batches):
@@ -71,11 +85,12 @@ def decode_audio(files: DataFrame, rate: int | None = None) -> DataFrame:
             rows = []
             for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
                 try:
-                    x, r = decode_wav(content)
+                    kind = splitext(path)[1].lower()
+                    x, r = decode_wav(content) if decoder is None or kind == ".wav" else decoder.decode(content, kind)
                     mono = x.mean(axis=0)
                     seconds = len(mono) / r
                     rows.append((path, resample_array(mono, r, rate or r), rate or r, seconds, None))
-                except (wave.Error, EOFError, KeyError, ValueError) as e:
+                except Exception as e:  # whatever a decoder raises is the file's error
                     rows.append((path, None, None, None, f"{type(e).__name__}: {e}"))
             kinds = (pa.string(), pa.list_(pa.float32()), pa.int32(), pa.float64(), pa.string())
             columns = list(zip(*rows)) or [()] * 5
@@ -84,23 +99,38 @@ def decode_audio(files: DataFrame, rate: int | None = None) -> DataFrame:
     return files.select("path", "content").mapInArrow(run, "path string, samples array<float>, rate int, duration double, error string")
 
 
+#: Bytes at the start of a file that hold a WAV header, but for odd ones.
+HEADER = 4096
+
+
+def wav_seconds(head: bytes, length: int) -> float | None:
+    """Duration by the first bytes of a WAV file of that length; null if they don't tell."""
+    if head[:4] != b"RIFF" or head[8:12] != b"WAVE":
+        return None
+    at, byte_rate = 12, 0
+    while at + 8 <= len(head):
+        name, size = head[at : at + 4], int.from_bytes(head[at + 4 : at + 8], "little")
+        if name == b"fmt ":
+            byte_rate = int.from_bytes(head[at + 16 : at + 20], "little")
+        elif name == b"data":
+            return min(size, length - at - 8) / byte_rate if byte_rate else None
+        at += 8 + size + size % 2
+    return None
+
+
 def probe_duration(files: DataFrame) -> DataFrame:
-    """``path, duration`` by the header alone; null where it can't be read."""
+    """``path, duration`` by the header alone, of which only the first bytes leave the JVM; null where it can't be read."""
 
     def run(batches):
         for b in batches:
-            out = []
-            for content in b.column("content").to_pylist():
-                try:
-                    with wave.open(io.BytesIO(content)) as w:
-                        out.append(w.getnframes() / w.getframerate())
-                except (wave.Error, EOFError, ZeroDivisionError):
-                    out.append(None)
+            out = [wav_seconds(h, n) for h, n in zip(b.column("head").to_pylist(), b.column("length").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(out, pa.float64())], ["path", "duration"])
 
-    return files.select("path", "content").mapInArrow(run, "path string, duration double")
+    return files.select("path", "length", F.substring("content", 1, HEADER).alias("head")).mapInArrow(run, "path string, duration double")
 
 
 def is_local(repo: str) -> bool:
-    """Whether a repository name is a path: absolute, or explicitly relative."""
-    return repo.startswith(("/", "./"))
+    """Whether a repository name is a path: absolute, explicitly relative, or there."""
+    from os.path import exists
+
+    return repo.startswith(("/", "./", "../")) or exists(repo)

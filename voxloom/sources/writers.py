@@ -10,6 +10,11 @@ def save(df: DataFrame, path: str) -> None:
     df.write.parquet(path)
 
 
+def push(df: DataFrame, name: str, sink) -> None:
+    """Hands a dataset to a hub: ``sink(df, name)`` uploads it."""
+    sink(df, name)
+
+
 def save_splits(df: DataFrame, path: str) -> None:
     """A dataset per split, as partitions."""
     df.write.partitionBy("split").parquet(path)
@@ -73,6 +78,42 @@ def save_wavs(df: DataFrame, folder: str) -> DataFrame:
     return write_files(df.select("name", encode("samples", "rate").alias("content")), folder, "name", "content")
 
 
-def materialise_kind(path, exists, content, array):
-    """How an item's sound reaches the export: ``copy`` an existing path, ``write`` bytes, ``encode`` samples, or ``none``."""
-    return F.when(path.isNotNull() & content.isNull() & array.isNull() & exists, "copy").when(content.isNotNull(), "write").when(array.isNotNull(), "encode").otherwise("none")
+def materialise(files: DataFrame, folder: str) -> DataFrame:
+    """Brings each sound of ``name, path, bytes, samples, rate`` to folder/name: ``name, kind, size, error``.
+
+    Bytes are written (kind ``write``), samples without bytes encoded (``encode``),
+    a path alone is copied (``copy``); what has none of them is ``none``.  The
+    folder and the paths must be ones that every executor sees.
+    """
+
+    def run(batches):
+        import os
+        import shutil
+        import uuid
+
+        import pyarrow as pa
+
+        from .readers import encode_wav
+
+        for b in batches:
+            out = []
+            for name, path, raw, samples, rate in zip(*(b.column(c).to_pylist() for c in ("name", "path", "bytes", "samples", "rate"))):
+                target = os.path.join(folder, name)
+                temporary = f"{target}.{uuid.uuid4().hex}"
+                kind = "write" if raw is not None else "encode" if samples is not None and rate is not None else "copy" if path else "none"
+                try:
+                    os.makedirs(os.path.dirname(target), exist_ok=True)
+                    if kind == "copy":
+                        shutil.copyfile(path.removeprefix("file:"), temporary)
+                    elif kind != "none":
+                        with open(temporary, "wb") as f:
+                            f.write(raw if kind == "write" else encode_wav(samples, rate))
+                    if kind != "none":
+                        os.replace(temporary, target)
+                    out.append((name, kind, os.path.getsize(target) if kind != "none" else None, None))
+                except OSError as e:
+                    out.append((name, kind, None, str(e)))
+            columns = list(zip(*out)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.string()))], ["name", "kind", "size", "error"])
+
+    return files.select("name", "path", "bytes", "samples", "rate").mapInArrow(run, "name string, kind string, size long, error string")
