@@ -1,81 +1,21 @@
-"""Shared plumbing: scratch tables, document keys and Arrow batches of texts.
-
-Scratch tables live under ``spark.checkpoint.dir``, the folder every executor
-shares, so a lost executor never takes intermediate results with it.
-"""
+"""Shared plumbing: document keys, Arrow batches of texts, and the scratch tables of :mod:`voxloom.scratch`."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from contextlib import contextmanager
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import drop, free_name, store
+
+__all__ = ["BATCH_BYTES", "NULL_ID", "bound_batches", "drop", "free_name", "keyed", "real_id", "store", "word_spans"]
+
 #: Bytes of text that one Arrow batch may carry to a Python worker.
 BATCH_BYTES = 8 << 20
 #: Stands for a null doc_id in internal keys.
 NULL_ID = -(1 << 63)
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared scratch folder; only a local session without one gets its own."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="voxloom-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def _hadoop(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def store(df: DataFrame, label: str) -> DataFrame:
-    """Write df to a scratch table and read it back: this cuts the lineage.
-
-    The files go when the session ends, or earlier through :func:`drop`; the
-    shuffle files behind them go at once.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/voxloom-{label}-{uuid.uuid4().hex}"
-    fs, p = _hadoop(spark, path)
-    fs.deleteOnExit(p)
-    with _shuffles_removed(spark):
-        df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._scratch = path
-    return out
-
-
-def drop(df: DataFrame) -> None:
-    """Remove a scratch table that nothing reads any more."""
-    if path := getattr(df, "_scratch", None):
-        fs, p = _hadoop(df.sparkSession, path)
-        fs.delete(p, True)
-
-
-#: Lets Spark remove the shuffle files of a query when it ends, not when the driver happens to collect its garbage.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def _shuffles_removed(spark: SparkSession):
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_CLEANUP, before)
-
-
 def bound_batches(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes, so long texts can't make a batch outgrow a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
@@ -98,19 +38,8 @@ def real_id(column: str = "_d"):
     return F.when(F.col(column) != NULL_ID, F.col(column))
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """A column name that df doesn't use."""
-    while name.lower() in {c.lower() for c in df.columns}:
-        name += "_"
-    return name
-
-
 def word_spans(words: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
     """The words joined by one space, and each word's start and end in that."""
     length = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     end = np.cumsum(length + 1) - 1
     return b" ".join(words), end - length, end
-
-
-def long_array(values) -> pa.Array:
-    return pa.array(np.ascontiguousarray(values).view(np.int64) if isinstance(values, np.ndarray) and values.dtype == np.uint64 else values, type=pa.int64())
