@@ -8,7 +8,6 @@ prediction is marked as rejected.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,15 +18,19 @@ from pyspark.sql import functions as F
 from .common import keyed, real_id
 
 UNKNOWN = "und"
-#: Documents per language in a fit, and the longest of them in characters.
-SAMPLE, SAMPLE_CHARS = 400, 20_000
-#: Bytes of a dictionary, and of a piece that is compressed by itself.
+#: Documents per language in a fit at most, and the longest of them in characters.
+SAMPLE, SAMPLE_CHARS = 128, 20_000
+#: Bytes of a dictionary, which whole texts fill, and of a piece that is compressed by itself.
 DICTIONARY_BYTES, PIECE_BYTES = 48 << 10, 4096
 #: Share of the best length by which the second must exceed it.
 MIN_MARGIN = 0.02
 #: Bytes of margin per piece that multiply the odds by e.
 TEMPERATURE = 4.0
-_LETTER = re.compile(r"[^\W\d_]").search
+
+
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; numerals such as ½ or Ⅷ aren't."""
+    return any(map(str.isalpha, text))
 
 
 @dataclass
@@ -49,12 +52,19 @@ class Model:
 
 
 def fit(samples: dict[str, list[bytes]]) -> Model:
-    """A dictionary per language from its texts in the given order, each giving a like share until DICTIONARY_BYTES are full."""
+    """A dictionary per language: its texts in the given order, whole ones while they fit into DICTIONARY_BYTES; the first is cut if it alone doesn't."""
     contents = {}
     for lang in sorted(samples):
-        texts = [t.decode("utf-8", "replace").lower().encode() for t in samples[lang] if t.strip()]
-        share = max(256, DICTIONARY_BYTES // max(1, len(texts)))
-        contents[lang] = b"\n".join(t[:share] for t in texts)[:DICTIONARY_BYTES] or b" " * 8
+        held = b""
+        for t in samples[lang]:
+            own = t.decode("utf-8", "replace").lower().encode()
+            if not own.strip():
+                continue
+            if not held:
+                held = own[:DICTIONARY_BYTES]
+            elif len(held) + 1 + len(own) <= DICTIONARY_BYTES:
+                held += b"\n" + own
+        contents[lang] = held or b" " * 8
     return Model(contents)
 
 
@@ -62,13 +72,19 @@ def labelled_sample(docs: DataFrame, where, seed: int = 23) -> dict[str, list[by
     """Texts of at most SAMPLE documents of each non-null lang, those of the smallest hashes; where: a condition on ``doc_id``.
 
     The number of languages is taken to be that of a list of languages, so the
-    whole sample is bounded.
+    whole sample is bounded.  Only rows with a hash under a bound, by which a few
+    times SAMPLE of each language pass, are ranked: no task gets all rows of one.
+    Other columns are not read, whatever their names.
     """
-    rows = docs.where(where & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS)).select("lang", "doc_id", F.xxhash64("doc_id", F.lit(seed)).alias("h"))
-    first = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("n") <= SAMPLE).select("doc_id")
-    got = docs.join(F.broadcast(first.distinct()), "doc_id").where(F.col("lang").isNotNull() & F.col("text").isNotNull()).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", F.xxhash64("doc_id", F.lit(seed)).alias("h"), F.col("text").cast("binary").alias("text")).collect()  # a repeated id gives one text
+    own = docs.where(where & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
+    rows = own.select("lang", "doc_id", "text", F.xxhash64("doc_id", F.lit(seed)).alias("h"))
+    share = F.least(F.lit(1.0), F.lit(4.0 * SAMPLE) / F.greatest(F.lit(1), F.col("n")))
+    bound = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.05).alias("n")).select(F.col("lang").alias("of"), F.when(share < 1, (share * 2.0**64 - 2.0**63).cast("long")).otherwise(F.lit((1 << 63) - 1)).alias("most"))
+    few = rows.join(F.broadcast(bound), (rows["lang"] == bound["of"]) & (rows["h"] <= bound["most"]))  # a row per language
+    once = few.groupBy("lang", "doc_id", "h").agg(F.min("text").alias("text"))  # a repeated id gives one text
+    first = once.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("n") <= SAMPLE)
     out: dict[str, list[bytes]] = {}
-    for r in sorted(got, key=lambda r: (r.h, bytes(r.text))):
+    for r in sorted(first.select("lang", "h", F.col("text").cast("binary").alias("text")).collect(), key=lambda r: (r.h, bytes(r.text))):
         out.setdefault(r.lang, []).append(bytes(r.text))
     return {k: list(dict.fromkeys(v)) for k, v in out.items()}
 
@@ -87,7 +103,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "do
     letter (or if nothing was learned).  ``score`` is the share of the best in
     odds that fall with the mean length of a piece.  ``rejected``: the margin
     is under MIN_MARGIN of the best length, or the text is ``und``.  Rows that
-    repeat each get a row; an empty table gives an empty result.
+    repeat each get a row; other columns are not read, whatever their names; an
+    empty table gives an empty result.
     """
 
     def run(batches):
@@ -96,7 +113,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "do
             lang, value, margin = [], [], []
             for raw in batch.column("_t").to_pylist():
                 text = raw.decode("utf-8", "replace")
-                if not names or not _LETTER(text):
+                if not names or not has_letter(text):
                     lang.append(UNKNOWN), value.append(0.0), margin.append(0.0)
                     continue
                 parts = pieces(text.lower().encode())
