@@ -13,6 +13,7 @@ import hashlib
 import os
 import struct
 import tempfile
+from array import array
 
 import pyarrow as pa
 import xxhash
@@ -67,6 +68,29 @@ def normalise(text: bytes) -> bytes:
     return text.lower()
 
 
+class Members:
+    """Pairs of a row and its entry, beyond a bound in a file: a content in any number of copies needs no memory for them."""
+
+    def __init__(self, folder: str, held: int = 1 << 18):
+        self.path, self.file, self.part, self.held = os.path.join(folder, "members"), None, array("q"), held
+
+    def add(self, row: int, entry: int) -> None:
+        self.part.extend((row, entry))
+        if len(self.part) >= 2 * self.held:
+            self.file = self.file or open(self.path, "wb")
+            self.part.tofile(self.file)
+            self.part = array("q")
+
+    def __iter__(self):
+        if self.file:
+            self.file.close()
+            with open(self.path, "rb") as f:
+                while raw := f.read(1 << 20):
+                    own = array("q", raw)
+                    yield from zip(own[::2], own[1::2])
+        yield from zip(self.part[::2], self.part[1::2])
+
+
 def grace(records, limit: int = TABLE_BYTES, folder: str | None = None, level: int = 0):
     """Groups records (hash, id, row, count, content) by content: yields (row, top id, top row, count) for each record.
 
@@ -74,11 +98,13 @@ def grace(records, limit: int = TABLE_BYTES, folder: str | None = None, level: i
     contents, records whose content it has still go to it and others to spill
     files by the hash's next bits, which are read again after the table is
     done, one at a time.  A copy never adds to a table, so a file of one
-    repeated content fits.  Past the hash's last bits the table just grows.
+    repeated content fits.  Past the hash's last bits the table just grows.  The
+    spill files are a task's own and go with it: a task that runs again makes new ones.
     """
-    table, members, top, files = Table(), [], [], {}
+    table, top, files = Table(), [], {}
     shift = 64 - FAN_BITS * (level + 1)
     scratch = tempfile.TemporaryDirectory(dir=folder, prefix="grace-")
+    members = Members(scratch.name)
     try:
         for h, i, row, n, content in records:
             if files or table.bytes >= limit and shift >= 0:
@@ -95,7 +121,7 @@ def grace(records, limit: int = TABLE_BYTES, folder: str | None = None, level: i
                     top.append((i, row, 0))
             a, b, c = top[e]
             top[e] = (i, row, c + n) if (i, -row) > (a, -b) else (a, b, c + n)
-            members.append((row, e))
+            members.add(row, e)
         for row, e in members:
             yield (row, *top[e])
         del table, members, top
