@@ -79,3 +79,25 @@ def test_spilling_compares_contents(tmp_path):
         top = max(own)
         assert got[n] == (top[0], -top[1], len(own))
     assert not list(tmp_path.iterdir())
+
+
+def test_members_beyond_memory(tmp_path):
+    members = exact.Members(str(tmp_path), held=10)
+    pairs = [(i * 3, i) for i in range(57)]
+    for p in pairs:
+        members.add(*p)
+    assert len(members.part) < 20 and list(members) == pairs
+
+
+def test_quality_by_sql(spark, sf):
+    """The SQL of op5 and op4 over the tables gives the queries' rows."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for name in ("op5_quality", "op4_substring"):
+        got = queries.queries()[name](spark, sf)
+        want = con.sql(queries.oracle_sql()[name])
+        columns = sorted(got.columns)
+        assert sorted(want.columns) == columns
+        assert order(got.select(*columns).collect()) == order(want.project(", ".join(columns)).fetchall())

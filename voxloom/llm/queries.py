@@ -97,5 +97,33 @@ FROM t
 """
 
 
+WORD = r"[^\x20\x09-\x0D]+"
+
+#: Windows of 35 words by their text; a word goes if a window that starts twice or more covers it.
+SUBSTRING_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+x AS (SELECT r, unnest(range(1, len(w) - 33)) AS i, unnest(list_transform(range(1, len(w) - 33), lambda i: sha256(array_to_string(w[i:i+34], ' ')))) AS h FROM d WHERE len(w) >= 35),
+t AS (SELECT r, i FROM x QUALIFY count(*) OVER (PARTITION BY h) > 1),
+g AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM t),
+l AS (SELECT r, list(p) AS gone FROM g GROUP BY r),
+k AS (SELECT doc_id, w, CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda z: NOT list_contains(gone, z[2])), lambda z: z[1]) END AS kept FROM d LEFT JOIN l USING (r))
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - len(kept))::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+"""
+
+#: The measures, every rule's bit, and the verdict of the base and of policy v2.
+QUALITY_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS l FROM documents),
+x AS (SELECT r, unnest(range(1, len(w) - 3)) AS i, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS g FROM d WHERE len(w) >= 5),
+t AS (SELECT r, i FROM x QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+p AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS q FROM t) GROUP BY r),
+m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+  (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(p.n, 0)::BIGINT AS n_repeat_words, len(l)::BIGINT AS n_lines, len(list_filter(w, lambda x: regexp_matches(x, '^\p{{L}}')))::BIGINT AS n_letter_words
+  FROM d LEFT JOIN p USING (r)),
+f AS (SELECT *, {' + '.join(f"CASE WHEN {rule.replace(' div ', ' // ')} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(quality.RULES.values()))} AS failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & {quality.mask(quality.BASE)} <> 0 AS base_failed, failed & {quality.mask(quality.POLICIES["v2"])} = 0 AS kept, failed::BIGINT AS failed FROM f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact": EXACT_SQL}
+    return {"op4_substring": SUBSTRING_SQL, "op5_quality": QUALITY_SQL, "op6_exact": EXACT_SQL}

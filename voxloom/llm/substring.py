@@ -218,7 +218,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, period: int = PERIOD,
     anchors = store(_repeated(keyed(docs, text, doc_id).mapInArrow(_anchors(length, period, cover), _SCHEMA)), "anchors")
     whole = F.col("pos") == WHOLE
     by_doc = anchors.groupBy("d", "k").agg(
-        F.collect_list(F.when(~whole, F.col("pos"))).alias("anchors"),
+        F.collect_set(F.when(~whole, F.col("pos"))).alias("anchors"),  # rows that repeat id and text share a key
         F.max(F.when(whole, 1).otherwise(0)).alias("twin"),
         F.max(F.when(whole & (F.col("kind") == LONE), 1).otherwise(0)).alias("speaks"),
     )
