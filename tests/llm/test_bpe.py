@@ -72,6 +72,26 @@ def test_resynchronised_counts(text, chunk, overlap):
     assert tokencount.chunked_count(text, JSON.offsets, chunk, overlap) == whole(text) == JSON.short(text)
 
 
+@given(st.text(alphabet=st.sampled_from(" \n'sab12½é。，’日本<|>endoftext"), max_size=400), st.integers(8, 60), st.integers(1, 20))
+@settings(max_examples=300, deadline=None)
+def test_resynchronised_counts_between_kinds(text, chunk, overlap):
+    assert JSON.stable is not tokencount.STABLE
+    assert tokencount.chunked_count(text, JSON.offsets, chunk, overlap, JSON.stable) == whole(text)
+
+
+@pytest.mark.parametrize("text", ["日本語の文章。" * 9000, "Zm9vYmFy0aGk5" * 4000, "x" * 40_000, "a1<|endoftext|>2b" * 3000])
+def test_texts_without_spaces_cost_in_proportion(text):
+    """Characters that are encoded stay within a few times the text, where it has stable places and where it has none."""
+    cost = []
+
+    def offsets(part):
+        cost.append(len(part))
+        return JSON.offsets(part)
+
+    assert tokencount.chunked_count(text, offsets, 1024, 64, JSON.stable) == whole(text)
+    assert sum(cost) <= 6 * len(text)
+
+
 @pytest.mark.parametrize("text", ["ab<|endoftext|>cd " * 300, "word " * 3000, "x" * 9000, " " * 500 + "a b c" * 900, "日本語" * 2000])
 def test_resynchronised_counts_of_long_texts(text):
     assert tokencount.chunked_count(text, JSON.offsets, 256, 16) == whole(text) == JSON.short(text)
