@@ -29,13 +29,13 @@ def test_query_finds_small_edits_of_short_and_long_lines(spark, tmp_path):
 
 def test_every_removed_line_is_linked_and_forms_agree(spark, docs, rows, empty):
     """Removed lines have a verified like, nothing but repeats goes, and the pipeline's form gives the same texts."""
-    got = lines.dedup_lines(docs, with_text=True, search="grams").collect()
+    got = lines.dedup_lines(docs, with_text=True).collect()
     assert len(got) == len(rows)
-    every = {s for _, t, *_ in rows for x in (t or "").split("\n") if len((s := normal(x)).split(" ")) >= 5}
-    kept = [s for k in got for x in k.kept_text.split("\n") if len((s := normal(x)).split(" ")) >= 5]
+    every = {s for _, t, *_ in rows for x in (t or "").split("\n") if (s := normal(x))}
+    kept = [s for k in got for x in k.kept_text.split("\n") if (s := normal(x))]
     for s in every - set(kept):
         assert any(s != x and edit_distance(s, x) <= max(len(s), len(x)) * 20 // 100 for x in every if abs(len(s) - len(x)) <= 0.2 * max(len(s), len(x)))
-    out = lines.without_repeated_lines(docs, search="grams")
+    out = lines.without_repeated_lines(docs)
     assert out.schema == docs.schema
     assert order((x.doc_id, hashlib.sha256((x.text or "").encode()).hexdigest()) for x in out.collect()) == order((x.doc_id, x.kept_sha256) for x in got)
-    assert lines.dedup_lines(empty, search="grams").count() == 0
+    assert lines.dedup_lines(empty).count() == 0

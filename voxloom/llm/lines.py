@@ -1,20 +1,16 @@
-"""Fuzzy line deduplication.
-
-Lines are normalised; those that may be alike are found by one of two searches
-and verified by edit similarity, and of each connected group the first
-occurrence stays.  ``fingerprints``: SimHashes of the words meet in pigeonhole
-blocks, so only lines whose SimHashes are close are verified.  ``grams``: MinHash
-keys of the five-byte grams, which an edit moves little in short lines too.
-
-Equal lines are one node.  A first round verifies as many links as connect the
-fingerprints of each block; a second one verifies what links remain between
-lines that the first left apart.  So every close pair is verified or already
-connected, without listing the pairs inside a large group.
+"""Fuzzy line deduplication by SimHash blocks.
+
+Lines are normalised.  A line's fingerprint is a SimHash over its grams of
+bytes, cut into blocks such that an edit disturbs only some of them (see
+:mod:`~voxloom.llm.blocks`).  Lines that share a block are verified by Hamming
+distance and edit similarity, and of each connected group the first occurrence stays.  Equal
+lines of any length are one node.
 """
 
 from __future__ import annotations
 
 import hashlib
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -22,236 +18,246 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, free_name, keyed, real_id, store
-from .graph import components
-from .minhash import Scheme, groups
-from .simhash import close_links
-
-#: Lines of fewer words are never removed: short ones coincide by chance.
-MIN_WORDS = 5
-#: With the gram search, lines of fewer words that have so many characters take part too.
-MIN_CHARS = 20
-#: Least edit similarity of linked lines, in percent; bits in which their fingerprints may differ; blocks of a fingerprint.
-SIMILARITY, DISTANCE, BLOCKS = 80, 3, 5
-#: Keys by the length of a line in characters: name, least, end, bytes of a gram, scheme.  The longer two unlike lines are, the more
-#: short grams they share.  Two lines of 80 % edit similarity always have one of the schemes in common.
-SCHEMES = (
-    ("short", 0, 80, 5, Scheme(minima=32, rows=4, keys=20, seed=7)),
-    ("middle", 64, 600, 5, Scheme(minima=40, rows=5, keys=24, seed=7)),
-    ("long", 480, None, 10, Scheme(minima=32, rows=4, keys=16, seed=7)),
-)
-#: Passes over the keys: each deals out its share of them, which bounds the disk that takes.
-PASSES = 4
-#: Words that are hashed at a time.
-SLICE = 1 << 18
+from .blocks import FP, Cut, block_keys, fingerprints, groups, levels
+from .common import NULL_ID, drop, free_name, keyed, real_id, store
+
+#: Least edit similarity of linked lines, in percent.
+SIMILARITY = 80
+#: Lines of fewer words, and of fewer characters, take part only in exact removal.
+MIN_WORDS, MIN_CHARS = 1, 1
+#: Lines of so many bytes have larger classes, and from the level LONG on fewer blocks of more features: of a long line a stretch that others share may well be a part.
+CUT = Cut(features=3, blocks=14, least=2, alike=SIMILARITY / 100, long=160, long_features=4)
+LONG, LONG_CUT = 6, replace(CUT, blocks=10, least=3)
+#: Bytes of a gram, by level: the longer two unlike lines are, the more short grams they share.
+GRAMS = {1: 3, 2: 3, 3: 4, 4: 5, 5: 7}
+LONG_GRAM = 8
+#: Bytes of a gram of the plain fingerprint.
+PLAIN_GRAM = 4
+#: Bytes of lines that are hashed at a time, and lines of which rows are made at a time.
+SLICE, ROWS = 1 << 17, 1 << 14
+#: Parts into which the lines of a component are dealt.
+SALTS = 16
 #: Fixed by definition: A-Z to a-z, digits to 0, other ASCII but the line feed to a space.
 _NORMAL = bytes(b if b == 10 or b > 127 else ord("0") if 48 <= b <= 57 else b | 32 if chr(b).isalpha() else 32 for b in range(256))
 
 
-def normal_lines(text: bytes, min_words: int = MIN_WORDS, min_chars: int | None = None) -> list[tuple[int, list[bytes]]]:
-    """Number (from 0) and normalised words of each line with at least min_words of them, or min_chars characters in all."""
-    long = lambda w: min_chars is not None and len(b" ".join(w).decode("utf-8", "replace")) >= min_chars
-    return [(i, w) for i, line in enumerate(text.translate(_NORMAL).split(b"\n")) if len(w := line.split()) >= min_words or long(w)]
+def normal_lines(text: bytes) -> list[tuple[int, bytes]]:
+    """Number (from 0) and normalised form of each line that has any."""
+    return [(i, b" ".join(w)) for i, line in enumerate(text.translate(_NORMAL).split(b"\n")) if (w := line.split())]
 
 
-def simhashes(lines: list[list[bytes]]) -> np.ndarray:
-    """Fingerprints of lines: bit i is set where over half of the distinct words' 64-bit hashes have it.
+class _Grams:
+    """The grams of lines, none of them empty, a space before and after each line."""
 
-    Repeats don't count: in long lines the frequent words of a language would
-    outvote all others.
-    """
-    lines = [list(set(x)) for x in lines]
-    out, i = np.empty(len(lines), dtype=np.uint64), 0
-    while i < len(lines):
-        j, n = i, 0
-        while j < len(lines) and (j == i or n + len(lines[j]) <= SLICE):
-            n += len(lines[j])
-            j += 1
-        words = [w for x in lines[i:j] for w in x]
-        hashed = {w: xxhash.xxh3_64_intdigest(w) for w in set(words)}
-        bits = np.unpackbits(np.fromiter(map(hashed.__getitem__, words), dtype=np.uint64, count=n).view(np.uint8), bitorder="little").reshape(-1, 64)
-        size = np.array([len(x) for x in lines[i:j]])
-        ones = np.add.reduceat(bits, np.cumsum(size) - size, axis=0, dtype=np.int32)
-        out[i:j] = np.packbits(2 * ones > size[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
-        i = j
-    return out
+    def __init__(self, lines: list[bytes]):
+        self.size = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines)) + 2
+        self.begin = np.cumsum(self.size) - self.size
+        data = np.frombuffer(b" " + b"  ".join(lines) + bytes(10), dtype=np.uint8)
+        # eight bytes from each place on
+        self.window = np.ndarray((int(self.size.sum()),), dtype="<u8", buffer=data, strides=(1,))
 
+    def of(self, which: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
+        """Grams of some lines as numbers, and the place in which of each one's line."""
+        n = np.maximum(self.size[which] - gram + 1, 1)
+        place = np.repeat(self.begin[which] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        return self.window[place] & np.uint64((1 << 8 * gram) - 1), np.repeat(np.arange(len(which)), n)
 
-def _line_rows(min_words: int):
-    def run(batches):
-        for batch in batches:
-            lines, number, docs, digest = [], [], [], []
-
-            def rows():
-                h = np.frombuffer(b"".join(digest), dtype=np.int64).reshape(-1, 2)
-                fp = simhashes(lines).view(np.int64)
-                take = pa.array(np.array(docs, dtype=np.int64))
-                return pa.RecordBatch.from_arrays([batch.column("_d").take(take), batch.column("_k").take(take), pa.array(number, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(fp)], ["d", "k", "line", "h1", "h2", "fp"])
-
-            held = 0
-            for i, t in enumerate(batch.column("_t").to_pylist()):
-                for n, w in normal_lines(t, min_words):
-                    lines.append(w)
-                    number.append(n)
-                    docs.append(i)
-                    digest.append(xxhash.xxh3_128_digest(b" ".join(w)))
-                    held += len(w)
-                if held > 2 * SLICE:
-                    yield rows()
-                    lines, number, docs, digest, held = [], [], [], [], 0
-            if lines:
-                yield rows()
 
-    return run
+def line_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Line (by number) and key of every block of the lines, none of them empty."""
+    grams, found = _Grams(lines), []
+    for which, level in levels(grams.size - 2, CUT):
+        gram = np.array([GRAMS.get(x, LONG_GRAM) for x in range(64)])[level]
+        for g in np.unique(gram).tolist():
+            for cut, own in ((CUT, (gram == g) & (level < LONG)), (LONG_CUT, (gram == g) & (level >= LONG))):
+                if own.any():
+                    at, key = block_keys(*grams.of(which[own], g), level[own], cut)
+                    found.append((which[own][at], key))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def gram_keys(lines: list[bytes], gram: int, scheme: Scheme) -> np.ndarray:
-    """32-bit keys of the grams of each line, a space before and after it."""
-    framed = [b" " + x + b" " for x in lines]
-    size = np.fromiter(map(len, framed), dtype=np.int64, count=len(framed))
-    end = np.cumsum(size)
-    data = np.frombuffer(b"".join(framed) + bytes(gram), dtype=np.uint8).astype(np.uint64)
-    grams = np.zeros(len(data) - gram, dtype=np.uint64)
-    for i in range(gram):
-        grams *= np.uint64(0x100000001B3)
-        grams += data[i : i + len(grams)]
-    grams *= np.uint64(0x9E3779B97F4A7C15)
-    grams ^= grams >> np.uint64(32)
-    return (scheme.of(grams, end - size, np.maximum(end - gram + 1, end - size + 1)) >> 32).astype(np.int32)
-
-
-def _gram_rows(min_words: int, min_chars: int):
-    def keys(lines, size, least, end, gram, scheme):
-        """A list of keys for lines of the scheme's length, null for others."""
-        which = np.flatnonzero((size >= least) & (size < (end or np.inf)))
-        found = gram_keys([lines[i] for i in which], gram, scheme) if len(which) else np.empty((0, 1), dtype=np.int32)
-        has = np.zeros(len(lines), dtype=bool)
-        has[which] = True
-        offsets = np.concatenate([[0], np.cumsum(has)]) * found.shape[1]
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(found.ravel()), mask=pa.array(~has))
+def line_fingerprints(lines: list[bytes]) -> list[np.ndarray]:
+    """Plain SimHashes of the lines' grams, in words."""
+    return fingerprints(*_Grams(lines).of(np.arange(len(lines)), PLAIN_GRAM), len(lines))
 
-    def run(batches):
-        for batch in batches:
-            lines, number, docs, digest = [], [], [], []
-
-            def rows():
-                h = np.frombuffer(b"".join(digest), dtype=np.int64).reshape(-1, 2)
-                size = np.fromiter((len(x.decode("utf-8", "replace")) for x in lines), dtype=np.int64, count=len(lines))
-                take = pa.array(np.array(docs, dtype=np.int64))
-                columns = [batch.column("_d").take(take), batch.column("_k").take(take), pa.array(number, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(size)]
-                return pa.RecordBatch.from_arrays(columns + [keys(lines, size, *x[1:]) for x in SCHEMES], ["d", "k", "line", "h1", "h2", "size", *(x[0] for x in SCHEMES)])
-
-            held = 0
-            for i, t in enumerate(batch.column("_t").to_pylist()):
-                for n, w in normal_lines(t, min_words, min_chars):
-                    lines.append(b" ".join(w))
-                    number.append(n)
-                    docs.append(i)
-                    digest.append(xxhash.xxh3_128_digest(lines[-1]))
-                    held += len(w)
-                    if held > SLICE // 4:
-                        yield rows()
-                        lines, number, docs, digest, held = [], [], [], [], 0
-            if lines:
-                yield rows()
 
-    return run
+def _digests(lines: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, lines)), dtype=np.int64).reshape(-1, 2)
+
 
+def _line_rows(batches):
+    """A row for each line that isn't blank: its document and number, and the digest of its normalised form."""
+    for batch in batches:
+        docs, number, lines = [], [], []
 
-def _wanted(min_words: int, min_chars: int | None):
-    """The normalised lines that ``wanted`` (line, h1) names."""
+        def rows():
+            h, take = _digests(lines), pa.array(docs, pa.int64())
+            return pa.RecordBatch.from_arrays([batch.column("_d").take(take), batch.column("_k").take(take), pa.array(number, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], ["d", "k", "line", "h1", "h2"])
+
+        for i, t in enumerate(batch.column("_t").to_pylist()):
+            for n, x in normal_lines(t):
+                docs.append(i), number.append(n), lines.append(x)
+            if len(lines) >= ROWS:
+                yield rows()
+                docs, number, lines = [], [], []
+        if lines:
+            yield rows()
 
+
+def _block_rows(min_words: int, min_chars: int):
     def run(batches):
+        """Rows of (key, size, node) of the lines, those met before in the batch left out."""
+
+        def rows(lines):
+            at, key = line_keys(lines)
+            size = np.fromiter((len(x) if x.isascii() else len(x.decode("utf-8", "replace")) for x in lines), dtype=np.int32, count=len(lines))
+            node = _digests(lines)[:, 0]
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(size[at]), pa.array(node[at])], ["key", "size", "node"])
+
         for batch in batches:
-            ids, texts = [], []
-            for t, wanted in zip(batch.column("_t").to_pylist(), batch.column("wanted").to_pylist()):
-                own = dict(normal_lines(t, min_words, min_chars))
-                for x in wanted:
-                    ids.append(x["h1"])
-                    texts.append(b" ".join(own[x["line"]]).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["h", "t"])
+            seen, lines, held = set(), [], 0
+            for t in batch.column("_t").to_pylist():
+                for _, x in normal_lines(t):
+                    if x in seen or (min_words > 1 and x.count(b" ") + 1 < min_words) or len(x) < min_chars:
+                        continue
+                    seen.add(x), lines.append(x)
+                    held += len(x)
+                    if held > SLICE:
+                        yield rows(lines)
+                        lines, held = [], 0
+            if lines:
+                yield rows(lines)
 
     return run
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: int, min_words: int, label: str, min_chars: int | None = None) -> DataFrame:
-    """The pairs (a, b: ids of lines) whose edit similarity, 1 - distance / longer length, is at least similarity percent."""
-    pairs = store(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{label}-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-    wanted = ids.join(nodes.select("h1", "first"), "h1").groupBy(F.col("first.d").alias("d"), F.col("first.k").alias("k")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "h1")).alias("wanted"))
-    texts = docs.join(wanted, (docs["_d"] == wanted["d"]) & (docs["_k"] == wanted["k"])).select("_t", "wanted").mapInArrow(_wanted(min_words, min_chars), "h long, t string")
-    texts = store(texts.dropDuplicates(["h"]), f"{label}-texts")
-    a, b = texts.select(F.col("h").alias("a"), F.col("t").alias("ta")), texts.select(F.col("h").alias("b"), F.col("t").alias("tb"))
-    most = f"cast((greatest(length(ta), length(tb)) * {100 - similarity}) div 100 as int)"
-    # the cost grows with the bound: most links are a few edits, which a small bound shows
-    bounds = (8, 64, 256, 1024, 4096)
-    within = ["levenshtein(ta, tb, least(8, %s)) >= 0" % most]
-    within += [f"({most} > {low} AND levenshtein(ta, tb, {f'least({k}, {most})' if k else most}) >= 0)" for low, k in zip(bounds, (*bounds[1:], None))]
-    near = F.expr(f"abs(length(ta) - length(tb)) <= {most} AND ({' OR '.join(within)})")
-    near = F.when(F.rand(0) < 2, near)
-    return store(pairs.join(a, "a").join(b, "b").repartition("a", "b").where(near).select("a", "b"), f"{label}-edges")
-
-
-def repeated_lines(docs: DataFrame, min_words: int, similarity: int, distance: int, n_blocks: int) -> DataFrame:
+def _texts(batches):
+    """Normalised form and fingerprint of the lines that ``wanted`` (line, node) names."""
+
+    def rows(nodes, lines):
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([x.decode("utf-8", "replace") for x in lines], pa.string()), *map(pa.array, line_fingerprints(lines))], ["node", "content", *FP])
+
+    for batch in batches:
+        nodes, lines, held = [], [], 0
+        for t, wanted in zip(batch.column("_t").to_pylist(), batch.column("wanted").to_pylist()):
+            own = dict(normal_lines(t))
+            for x in wanted:
+                nodes.append(x["node"]), lines.append(own[x["line"]])
+                held += len(lines[-1])
+                if held > SLICE:
+                    yield rows(nodes, lines)
+                    nodes, lines, held = [], [], 0
+        if lines:
+            yield rows(nodes, lines)
+
+
+#: Characters that must be equal for two texts to be taken up again after a difference, and how far on they are looked for.
+PROBE, REACH = 12, 64
+
+
+def _common(a: str, b: str, i: int, j: int) -> int:
+    """Length of what a from i on and b from j on have in common."""
+    low, high, step = 0, min(len(a) - i, len(b) - j), 32
+    while low < high and a[i + low : i + low + step] == b[j + low : j + low + step]:
+        low = min(low + step, high)
+        step *= 2
+    high = min(high, low + step)
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a[i + low : i + mid] == b[j + low : j + mid] else (low, mid - 1)
+    return low
+
+
+def at_most(a: str, b: str, most: int) -> int:
+    """An upper bound of the edit distance, or something over most: differences skipped to where the texts go on alike."""
+    i = j = cost = 0
+    while True:
+        n = _common(a, b, i, j)
+        i, j = i + n, j + n
+        if i == len(a) or j == len(b):
+            return cost + max(len(a) - i, len(b) - j)
+        for skip in range(min(REACH, len(b) - j - PROBE + 1)):
+            found = a.find(b[j + skip : j + skip + PROBE], i, i + skip + REACH)
+            if found >= 0:
+                cost, i, j = cost + max(found - i, skip), found, j + skip
+                break
+        else:
+            return cost + max(len(a) - i, len(b) - j)
+        if cost > most:
+            return cost
+
+
+def within(a: str, b: str, most: int) -> bool:
+    """Whether at most that many edits of one character lead from a to b.
+
+    A few differences are seen by an upper bound; what that leaves open is told
+    exactly by bit vectors over what lies between the common ends.
+    """
+    if abs(len(a) - len(b)) > most:
+        return False
+    if at_most(a, b, most) <= most:
+        return True
+    low = _common(a, b, 0, 0)
+    a, b = a[low:], b[low:]
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a[len(a) - mid : len(a) - low] == b[len(b) - mid : len(b) - low] else (low, mid - 1)
+    a, b = a[: len(a) - low], b[: len(b) - low]
+    if not a or not b:
+        return max(len(a), len(b)) <= most
+    if len(a) > len(b):
+        a, b = b, a
+    at: dict = {}
+    for i, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << i
+    full, top, left = (1 << len(a)) - 1, 1 << len(a) - 1, len(b)
+    up, down, score = full, 0, len(a)
+    get = at.get
+    for c in b:
+        eq = get(c, 0)
+        x = (((eq & up) + up) ^ up) | eq
+        plus, minus = down | (full & ~(x | up)), up & x
+        if plus & top:
+            score += 1
+        elif minus & top:
+            score -= 1
+        left -= 1
+        if score - left > most:
+            return False
+        plus = plus << 1 | 1
+        y = eq | down
+        up, down = full & (minus << 1 | ~(y | plus)), plus & y & full
+    return score <= most
+
+
+def alike(similarity: int):
+    return lambda a, b: within(a, b, max(len(a), len(b)) * (100 - similarity) // 100)
+
+
+def similar_lines(docs: DataFrame, similarity: int = SIMILARITY, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS) -> DataFrame:
     """``d``, ``k``, ``gone`` (numbers of lines) of keyed documents that lose lines."""
-    lines = store(docs.mapInArrow(_line_rows(min_words), "d long, k long, line int, h1 long, h2 long, fp long"), "lines")
-    nodes = store(lines.groupBy("h1", "h2").agg(F.min("fp").alias("fp"), F.min(F.struct("d", "k", "line")).alias("first"), F.count("*").alias("n")), "lines-node")
-    fps = store(nodes.groupBy("fp").agg(F.min("h1").alias("rep"), F.count("*").alias("lines")), "lines-fp")
-    links = store(close_links(fps.select("fp"), distance, n_blocks, True, label="lines"), "lines-link").distinct()
-    crowded = fps.where("lines > 1")
-    ra, rb = fps.select(F.col("fp").alias("a"), F.col("rep").alias("x")), fps.select(F.col("fp").alias("b"), F.col("rep").alias("y"))
-    across = links.join(ra, "a").join(rb, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    within = nodes.join(crowded.select("fp", "rep"), "fp").select(F.col("h1").alias("a"), F.col("rep").alias("b"))
-    first = _verified(across.unionAll(within), nodes, docs, similarity, min_words, "lines1")
-    joined = store(components(first, "lines1"), "lines1-cc")
-    # what is close but not yet connected
-    met = links.select(F.explode(F.array("a", "b")).alias("fp")).unionAll(crowded.select("fp")).distinct()
-    labelled = nodes.join(met, "fp").select("fp", "h1").join(joined.select(F.col("node").alias("h1"), "component"), "h1", "left")
-    labelled = store(labelled.select("fp", "h1", F.coalesce("component", "h1").alias("label")), "lines2")
-    # a fingerprint whose lines are apart is compared with all near it and with itself
-    each = labelled.groupBy("fp").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
-    near = close_links(each.select("fp", F.when(F.col("l0") == F.col("l1"), F.col("l0")).otherwise(F.xxhash64("fp", "l0")).alias("label")), distance, n_blocks, False, label="lines2")
-    again = near.unionAll(each.where("l0 <> l1").select(F.col("fp").alias("a"), F.col("fp").alias("b"))).distinct()
-    la, lb = labelled.select(F.col("fp").alias("a"), F.col("h1").alias("x"), F.col("label").alias("lx")), labelled.select(F.col("fp").alias("b"), F.col("h1").alias("y"), F.col("label").alias("ly"))
-    rest = again.join(la, "a").join(lb, "b").where("lx <> ly").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    second = _verified(rest, nodes, docs, similarity, min_words, "lines2")
-    group = store(components(first.unionAll(second), "lines2"), "lines2-cc")
-    out = _gone(lines, nodes, group)
-    for x in (lines, nodes, fps):
-        drop(x)
-    return out
+    lines = store(docs.mapInArrow(_line_rows, "d long, k long, line int, h1 long, h2 long"), "lines")
+    nodes = store(lines.groupBy("h1", "h2").agg(F.min(F.struct("d", "k", "line")).alias("first"), F.count("*").alias("n")), "lines-node")
 
+    def contents(wanted):
+        own = wanted.join(nodes.select(F.col("h1").alias("node"), "first"), "node")
+        own = own.groupBy(F.col("first.d").alias("d"), F.col("first.k").alias("k")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "node")).alias("wanted"))
+        texts = docs.join(own, (docs["_d"] == own["d"]) & (docs["_k"] == own["k"])).select("_t", "wanted")
+        return texts.mapInArrow(_texts, "node long, content string" + "".join(f", {f} long" for f in FP)).dropDuplicates(["node"])
 
-def similar_lines(docs: DataFrame, min_words: int, similarity: int) -> DataFrame:
-    """As repeated_lines, by MinHash keys of grams."""
-    lines = store(docs.mapInArrow(_gram_rows(min_words, MIN_CHARS), "d long, k long, line int, h1 long, h2 long, size long" + "".join(f", {x[0]} array<int>" for x in SCHEMES)), "lines")
-    one = lambda c: F.first(c, ignorenulls=True).alias(c)
-    nodes = store(lines.groupBy("h1", "h2").agg(F.min(F.struct("d", "k", "line")).alias("first"), F.count("*").alias("n"), one("size"), *(one(x[0]) for x in SCHEMES)), "lines-node")
-    own = lambda c, at: F.coalesce(F.transform(c, lambda x, i: (i + at).cast("long") * (1 << 32) + x.cast("long")), F.array().cast("array<long>"))
-    keys = F.concat(*(own(x[0], 100 * i) for i, x in enumerate(SCHEMES)))
-    keyed_nodes = nodes.select(F.col("h1").alias("node"), "size", keys.alias("keys"))
-    group = groups(keyed_nodes, lambda pairs, label: _verified(pairs, nodes, docs, similarity, min_words, label, MIN_CHARS), similarity, "lines", PASSES)
-    out = _gone(lines, nodes, group)
-    for x in (lines, nodes):
-        drop(x)
-    return out
-
-
-def _gone(lines: DataFrame, nodes: DataFrame, group: DataFrame) -> DataFrame:
-    """``d``, ``k``, ``gone``: all occurrences of each group of lines but the first."""
+    rows = docs.mapInArrow(_block_rows(min_words, min_chars), "key long, size int, node long")
+    group = groups(rows, contents, alike(similarity), similarity, "lines")
     lead = nodes.join(group.select(F.col("node").alias("h1"), "component"), "h1", "left")
-    top = lead.where("component is not null").groupBy("component").agg(F.min("first").alias("stays"))
-    marks = lead.where("component is not null or n > 1").join(top, "component", "left").select("h1", "h2", F.coalesce("stays", "first").alias("stays"))
+    # a component of any size is dealt out by a salt
+    lead = lead.where("component is not null or n > 1").withColumn("salt", F.pmod(F.xxhash64("h1", "h2"), F.lit(SALTS)).cast("int"))
+    top = lead.where("component is not null").groupBy("component").agg(F.min("first").alias("stays")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    marks = lead.join(top, ["component", "salt"], "left").select("h1", "h2", F.coalesce("stays", "first").alias("stays"))
     gone = lines.join(marks, ["h1", "h2"]).where(F.struct("d", "k", "line") != F.col("stays"))
-    return store(gone.groupBy("d", "k").agg(F.collect_set("line").alias("gone")), "lines-gone")
-
-
-def _marks(docs: DataFrame, search: str, min_words: int, similarity: int, distance: int, n_blocks: int) -> DataFrame:
-    if search == "grams":
-        return similar_lines(docs, min_words, similarity)
-    if search != "fingerprints":
-        raise ValueError(f"unknown search: {search}")
-    return repeated_lines(docs, min_words, similarity, distance, n_blocks)
+    out = store(gone.groupBy("d", "k").agg(F.collect_set("line").alias("gone")), "lines-gone")
+    for x in (lines, nodes, group):
+        drop(x)
+    return out
 
 
 def kept_lines(text: bytes, gone) -> list[bytes]:
@@ -260,23 +266,24 @@ def kept_lines(text: bytes, gone) -> list[bytes]:
     return [x for i, x in enumerate(lines) if i not in gone] if gone else lines
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: int = SIMILARITY, distance: int = DISTANCE, n_blocks: int = BLOCKS, with_text: bool = False, text: str = "text", doc_id: str = "doc_id", search: str = "fingerprints") -> DataFrame:
+def dedup_lines(docs: DataFrame, similarity: int = SIMILARITY, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS, with_text: bool = False, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: ``doc_id``, ``n_lines``, ``n_removed``, ``kept_sha256`` and, if asked for, ``kept_text``.
 
-    Lines end at line feeds.  Two lines of at least ``min_words`` words are
-    linked where their normalised forms are equal, or where the search finds them and
-    their edit similarity is ``similarity`` percent or more.  search:
-    ``fingerprints`` finds lines whose SimHashes (over distinct words) differ in at most
-    ``distance`` bits, ``grams`` those that share a MinHash key of their grams, with no such
-    bound; lines of at least MIN_CHARS characters then take part whatever their words.  Of each connected group the occurrence
+    Lines end at line feeds.  Two lines are linked where their normalised forms
+    (letters A-Z in lower case, digits as 0, other ASCII as a space, spaces
+    joined) are equal, or where they share a block of their fingerprints, differ in
+    at most ``blocks.BITS`` bits of 128 and their edit similarity (1 - distance / longer length, in characters) is
+    ``similarity`` percent or more; lines under ``min_words`` words or ``min_chars``
+    characters only where equal.  Of each connected group the occurrence
     in the smallest doc_id, then the earliest line, stays; all others go.  Kept
-    lines are unchanged and joined by line feeds.  A null or empty text has one
+    lines are unchanged and joined by line feeds.  A line without a normalised
+    form (blank, or punctuation alone) stays.  A null or empty text has one
     empty line, which stays.  Rows that repeat both id and text count as one
     document and get the same result.  Other columns are not read; an empty
     table gives an empty result.
     """
     source = keyed(docs, text, doc_id)
-    marks = _marks(source, search, min_words, similarity, distance, n_blocks)
+    marks = similar_lines(source, similarity, min_words, min_chars)
 
     def run(batches):
         for batch in batches:
@@ -286,7 +293,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: int = S
                 n.append(t.count(b"\n") + 1)
                 gone.append(len(g or ()))
                 sha.append(hashlib.sha256(kept).hexdigest())
-                texts.append(kept.decode("utf-8", "replace"))
+                if with_text:
+                    texts.append(kept.decode("utf-8", "replace"))
             columns, names = [batch.column("_d"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())], ["_d", "n_lines", "n_removed", "kept_sha256"]
             if with_text:
                 columns, names = [*columns, pa.array(texts, pa.string())], [*names, "kept_text"]
@@ -297,12 +305,12 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: int = S
     return out.select(real_id().alias("doc_id"), *out.columns[1:])
 
 
-def without_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_chars: str = "n_chars", min_words: int = MIN_WORDS, similarity: int = SIMILARITY, distance: int = DISTANCE, n_blocks: int = BLOCKS, search: str = "fingerprints") -> DataFrame:
+def without_repeated_lines(docs: DataFrame, similarity: int = SIMILARITY, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS, text: str = "text", doc_id: str = "doc_id", n_chars: str = "n_chars") -> DataFrame:
     """docs with the repeated lines taken out of their texts, every row and column kept; n_chars follows the text where there is such a column."""
-    marks = _marks(keyed(docs, text, doc_id), search, min_words, similarity, distance, n_blocks)
+    marks = similar_lines(keyed(docs, text, doc_id), similarity, min_words, min_chars)
     d, k, g = (free_name(docs, x) for x in ("_d", "_k", "_gone"))
     marks = marks.select(F.col("d").alias(d), F.col("k").alias(k), F.col("gone").alias(g))
-    own = docs.withColumn(d, F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))))
+    own = docs.withColumn(d, F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)))
     own = own.withColumn(k, F.xxhash64(d, F.coalesce(F.col(text).cast("string"), F.lit(""))))
     left = own.join(marks, [d, k], "left")
     parts = F.split(F.col(text), "\n", -1)
