@@ -1,9 +1,7 @@
 import random
 
-import numpy as np
-
 import corpus_pipeline
-from voxloom.llm import similar
+from voxloom.llm import simhash
 
 from .conftest import order
 from .test_simhash import classes
@@ -33,7 +31,7 @@ def edited(r, words, n):
 
 
 def test_keep_one_matches_brute_force(docs, rows, empty):
-    kept = similar.keep_one(docs)
+    kept = simhash.keep_one_similar(docs)
     assert kept.schema == docs.schema
     got = [(r.doc_id, r.text) for r in kept.collect()]
     groups = brute([r[:2] for r in rows])
@@ -41,7 +39,7 @@ def test_keep_one_matches_brute_force(docs, rows, empty):
     for own in groups:
         first = min(-(1 << 63) if i is None else i for i, _ in own)
         assert any(x in got for x in own if (-(1 << 63) if x[0] is None else x[0]) == first)
-    assert similar.keep_one(empty).count() == 0
+    assert simhash.keep_one_similar(empty).count() == 0
 
 
 def test_stage_finds_edited_copies_and_leaves_others(spark):
@@ -68,17 +66,27 @@ def test_a_large_group_of_near_copies(spark):
         words[3 * i] = f"x{i}"
         rows.append((i, " ".join(words)))
     r.shuffle(rows)
-    assert [x.doc_id for x in similar.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [0]
+    assert [x.doc_id for x in simhash.keep_one_similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [0]
 
 
 def test_unlike_texts_of_one_id_each_stay(spark):
     rows = [(None, "a b c d e f"), (None, "g h i j k l"), (None, "m n o p q r"), (1, "one two three four five six"), (1, "red blue green grey black white"), (2, "one two three four five six"), (3, "red blue green grey black white")]
-    out = similar.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    out = simhash.keep_one_similar(spark.createDataFrame(rows, "doc_id long, text string"))
     assert order(x[:2] for x in out.collect()) == order(rows[:5])
 
 
-def test_keys_of_slices(monkeypatch):
-    sets = [similar.shingle_set([str(i % 977).encode() for i in range(n)]) for n in (3, 5000, 40)]
-    whole = similar._keys(sets)
-    monkeypatch.setattr(similar, "SLICE", 97)
-    assert np.array_equal(similar._keys(sets), whole)
+def test_pairs_of_80_percent_share_a_block(sf_rows):
+    """Of pairs of texts of sf0.001 and edited copies of all of them, those of 80 % similarity or more share a block."""
+    r = random.Random(7)
+    texts = [t for _, t in sf_rows if t and len(t.split()) >= 12]
+    hit = total = 0
+    for t in texts:
+        words = t.split()
+        copy = edited(r, words, max(1, round(len(words) * r.choice((0.004, 0.01, 0.02)))))
+        sets = [simhash.shingle_set(x.encode().lower().split()) for x in (t, copy)]
+        both = len(set(sets[0].tolist()) & set(sets[1].tolist()))
+        if both >= 0.8 * (len(sets[0]) + len(sets[1]) - both):
+            at, keys = simhash.set_keys(sets)
+            total += 1
+            hit += bool(set(keys[at == 0].tolist()) & set(keys[at == 1].tolist()))
+    assert hit >= 0.97 * total > 60
