@@ -2,8 +2,14 @@
 
 toxicity: documents that the classifier rejects go.  lines: repeated lines go
 from the texts.  near_duplicates: of documents alike in 80 % of their
-five-word shingles one stays.  mixing: texts are taken as the mix of sources says, a document that it takes in part or
-twice giving a row each time.  bpe: what is left is encoded and decoded.
+five-word shingles one stays, by SimHash blocks.  mixing: texts are taken as the
+mix of sources says, a document that it takes in part or twice giving a row each
+time.  bpe: what is left is encoded and decoded.
+
+In every stage a null text counts as empty, a null doc_id as the smallest, rows
+that repeat are rows of their own (near_duplicates keeps one of them), columns
+that a stage doesn't name are carried along, whatever their names, and an empty
+table gives an empty one.
 """
 
 from __future__ import annotations
@@ -11,28 +17,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import bpe, lines, mixing, queries, similar, toxicity
+from voxloom.llm import bpe, lines, mixing, queries, simhash, toxicity
 from voxloom.llm.common import store
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the classifier rejects; it learns from the labelled documents of the input tables."""
+    """Drops what the classifier rejects; it learns from the labelled documents of the input tables.  A text without words stays."""
     return toxicity.keep_clean(docs, queries.toxicity_model(spark, sf_dir, F.col("doc_id").isNotNull()))
 
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return lines.without_repeated_lines(docs, search="grams")
+    """Takes out of the texts every line that repeats, exactly or nearly, an earlier one; every document stays, one of such lines alone with an empty text."""
+    return lines.without_repeated_lines(docs)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return similar.keep_one(docs)
+    """Keeps of each group of near copies the row of the smallest doc_id; all texts without a word are one group."""
+    return simhash.keep_one_similar(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats, cuts or drops texts until every source has its target of words."""
     return mixing.mixed_texts(docs)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per text: its number of tokens and the digests of its ids and of what they decode to."""
     return bpe.encode_documents(docs, queries.tokenizer_path(queries.RANKS))
 
 
