@@ -1,10 +1,12 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-The texts of a source are laid end to end in a seeded order and cut into blocks
-of equal size.  Blocks are seats: sources get them by highest quotients
-``target / (2k + 1)``, whole passes over a source first, then its shards get
-the rest by the same rule as integer quotas, and each shard fills its quota
-with the blocks of the smallest seeded hashes.
+Seats are words.  Sources get them by highest quotients ``target / (2k + 1)``, so
+each takes its target to a word, whatever its size.  The texts of a source are
+laid end to end in a seeded order and cut into blocks of equal size: whole
+passes over the source come first, the rest is whole blocks and a part of one
+more.  The shards of the source get the blocks by the same rule as integer
+quotas, and each shard fills its quota with the blocks of the smallest seeded
+hashes.
 """
 
 from __future__ import annotations
@@ -17,9 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import NULL_ID, real_id, store
 
-#: Words of a block; words of a shard, most shards, and most rows of (source, shard), which are planned on the driver.
-BLOCK, SHARD_WORDS, MAX_SHARDS, MAX_PLAN = 256, 4_000_000, 4096, 500_000
-#: Sources that a plan takes at most.
+#: Words of a block; least words of a shard, and shards over all sources at most (shards grow beyond that).
+BLOCK, SHARD_WORDS, MAX_SHARDS = 256, 1 << 16, 250_000
+#: Sources that are planned on the driver; more are planned by DataFrame operations.
 MAX_SOURCES = 10_000
 WEIGHTS, SHARE, REPEATS, SEED = (3, 1, 2), 1.5, 2, 42
 
@@ -85,61 +87,115 @@ def word_count(text):
     return F.coalesce(F.size(parts) - F.when(F.element_at(parts, -1) == "", 1).otherwise(0), F.lit(0)).cast("long")
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS, block: int = BLOCK, shard_words: int = SHARD_WORDS, seed: int = SEED, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
+_PLAN = "source string, s long, source_size long, target double, quota long"
+
+
+def source_plan(sums: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS, most: int = MAX_SOURCES) -> DataFrame:
+    """``source``, ``s`` (its number), ``source_size``, ``target`` and ``quota`` (words to take) of each source of ``source``, ``words``."""
+    listed = sums.limit(most + 1).collect()
+    if len(listed) > most:
+        return _many_sources(sums, weights, share, repeats)
+    listed.sort(key=lambda r: (r.source is None, (r.source or "").encode("utf-32-be")))
+    sizes = [r.words for r in listed]
+    goal = targets(sizes, weights, share, repeats)
+    quota = sainte_lague(goal, round(sum(goal)), [repeats * x for x in sizes])
+    rows = [(r.source, i, r.words, g, q) for i, (r, g, q) in enumerate(zip(listed, goal, quota))]
+    return F.broadcast(sums.sparkSession.createDataFrame(rows, _PLAN))
+
+
+def _many_sources(sums: DataFrame, weights, share, repeats) -> DataFrame:
+    """The same without a list of sources: numbered within ranges, targets by rounds of sums, seats by the divisor one."""
+    null = F.col("source").isNull()
+    parts = store(sums.withColumn("null", null).repartitionByRange("null", "source").withColumn("p", F.spark_partition_id()), "mix-number")
+    before, offset = 0, []
+    for r in sorted(parts.groupBy("p").agg(F.count("*").alias("n")).collect()):  # a row per partition
+        offset.append((r.p, before))
+        before += r.n
+    own = parts.join(F.broadcast(sums.sparkSession.createDataFrame(offset, "p int, o long")), "p")
+    own = own.withColumn("s", F.col("o") + F.row_number().over(Window.partitionBy("p").orderBy("null", "source")) - 1)
+    own = store(own.withColumn("w", F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("s") % len(weights) + 1).cast("int"))), "mix-weight")
+    unit, capped = 0.0, -1
+    while True:
+        full = F.col("w") * unit > repeats * F.col("words")
+        got = own.agg(F.sum("words").alias("all"), F.sum(F.when(full, F.col("words")).otherwise(0)).alias("held"), F.sum(F.when(full, 0.0).otherwise(F.col("w"))).alias("w"), F.count_if(full).alias("n")).first()
+        if got.n == capped or not got.w:
+            break
+        capped, unit = got.n, (share * got["all"] - repeats * got.held) / got.w
+    target = F.least(F.col("w") * unit, repeats * F.col("words").cast("double"))
+    return own.select("source", "s", F.col("words").alias("source_size"), target.alias("target"), F.floor(target + 0.5).cast("long").alias("quota"))
+
+
+def shard_plan(shards: list[tuple[int, int]], quota: int, block: int) -> list[tuple]:
+    """(shard, begin, first block, end block, passes, blocks, part, last) of each (shard, words) of a source.
+
+    The shard takes ``blocks`` of its blocks of full size, ``part`` words of one
+    more, and ``last`` words of the source's short last block.
+    """
+    total = sum(n for _, n in shards)
+    passes, rest = divmod(quota, total) if total else (0, 0)
+    whole, part = divmod(rest, block)
+    size, out, begin = total // block, [], 0
+    for shard, n in sorted(shards):
+        first, end = -(-begin // block), -(-(begin + n) // block)
+        out.append([shard, begin, first, max(first, min(end, size)), passes, 0, 0, part if whole == size and first <= size < end else 0])
+        begin += n
+    held = [x[3] - x[2] for x in out]
+    one_more = sainte_lague(held, whole + bool(part and whole < size), held)
+    for x, q, more in zip(out, sainte_lague(held, whole, held), one_more):
+        x[5], x[6] = q, part if more > q else 0
+    return [tuple(x) for x in out]
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS, block: int = BLOCK, shard_words: int = SHARD_WORDS, seed: int = SEED, max_sources: int = MAX_SOURCES, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
     """One row per document: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, ``passes``, ``ranges``, ``key``.
 
     Sources stand in code-point order, null last, and weigh ``weights`` in
     turn.  ``taken`` counts the words that the mix takes of a document: all of
     them ``passes`` times, and once more those in ``ranges`` (from, to; words
-    counted from 0).  ``key`` is the document's internal key.  A null text has
+    counted from 0).  A source's taken words are its target to a word.  ``key`` is the document's internal key.  A null text has
     no words.  Rows that repeat share what their number is given in the order
     of the seed.  The same rows give the same result whatever their order and
-    partitions; an empty table gives an empty result.
+    partitions; columns other than the three named are not read, whatever their
+    names; an empty table gives an empty result.
 
-    Only sums reach the driver: per source, of which a plan of weights lists
-    at most MAX_SOURCES, and per (source, shard), at most MAX_PLAN.
+    The driver gets one sum per source, if they are ``max_sources`` at most, and
+    otherwise none.  A source's shards are planned by one task per source.
     """
-    spark = docs.sparkSession
     d = F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID))
     key = F.xxhash64(d, F.coalesce(F.col(text).cast("string"), F.lit("")))
     rows = docs.select(d.alias("d"), key.alias("key"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"))
     rows = store(rows.withColumn("at", F.xxhash64("d", "key", F.lit(seed))), "mix")
-    by_source = rows.groupBy("source").agg(F.sum("size").alias("words")).limit(MAX_SOURCES + 1).collect()
-    if len(by_source) > MAX_SOURCES:
-        raise ValueError(f"over {MAX_SOURCES} sources")
-    by_source.sort(key=lambda r: (r.source is None, (r.source or "").encode("utf-32-be")))
-    sizes = [r.words for r in by_source]
-    goal = targets(sizes, weights, share, repeats)
-    number = {r.source: i for i, r in enumerate(by_source)}
-    shards = max(1, min(MAX_SHARDS, MAX_PLAN // max(1, len(sizes)), -(-sum(sizes) // shard_words)))
-    plan = spark.createDataFrame([(r.source, number[r.source], r.words, g) for r, g in zip(by_source, goal)], "source string, s int, source_size long, target double")
-    rows = rows.join(F.broadcast(plan), rows["source"].eqNullSafe(plan["source"])).select("d", "key", "at", "size", "s", "source_size", "target", F.pmod(F.shiftright("at", 8), F.lit(shards)).cast("int").alias("shard"))
-    # the line of a source: shard after shard, in each by the seeded hash
-    parts = sorted(rows.groupBy("s", "shard").agg(F.sum("size").alias("words")).collect(), key=lambda r: (r.s, r.shard))
-    quota, begin = [], {}
-    blocks = [-(-x // block) for x in sizes]
-    seats = sainte_lague(goal, round(sum(goal) / block), [repeats * b for b in blocks])
-    spans: dict[int, list] = {}
-    for r in parts:
-        at = begin.get(r.s, 0)
-        begin[r.s] = at + r.words
-        spans.setdefault(r.s, []).append((r.shard, at, -(-at // block), -(-(at + r.words) // block)))
-    for s, own in spans.items():
-        passes, rest = divmod(seats[s], blocks[s]) if blocks[s] else (0, 0)
-        held = [b - a for _, _, a, b in own]
-        for (shard, at, a, b), q in zip(own, sainte_lague(held, rest, held)):
-            quota.append((s, shard, at, a, b, passes, q))
-    quotas = store(spark.createDataFrame(quota, "s int, shard int, begin long, b0 long, b1 long, passes int, quota long"), "mix-quota")
-    own = quotas.where("quota > 0").select("s", "shard", "quota", F.explode(F.sequence(F.col("b0"), F.col("b1") - 1)).alias("block"))
+    sums = store(rows.groupBy("source").agg(F.sum("size").alias("words")), "mix-source")
+    total = sums.agg(F.sum("words")).first()[0] or 0
+    width = max(shard_words, -(-total // MAX_SHARDS))
+    plan = source_plan(sums, weights, share, repeats, max_sources)
+    number = F.greatest(F.lit(1), F.ceil(F.col("source_size") / width)).cast("long")
+    rows = rows.join(plan.withColumnRenamed("source", "of"), rows["source"].eqNullSafe(F.col("of")))
+    rows = rows.select("d", "key", "at", "size", "s", "source_size", "target", "quota", F.pmod(F.shiftright("at", 8), number).cast("int").alias("shard"))
+
+    def planned(own):
+        import pandas as pd
+
+        got = shard_plan(list(zip(own["shard"].tolist(), own["words"].tolist())), int(own["quota"].iloc[0]), block)
+        return pd.DataFrame([(int(own["s"].iloc[0]), *x) for x in got], columns=["s", "shard", "begin", "b0", "b1", "passes", "blocks", "part", "last"])
+
+    parts = rows.groupBy("s", "shard", "quota").agg(F.sum("size").alias("words"))
+    quotas = store(parts.groupBy("s").applyInPandas(planned, "s long, shard int, begin long, b0 long, b1 long, passes int, blocks long, part long, last long"), "mix-quota")
+    # the blocks of each shard that are taken, and how many words of each
+    own = quotas.where("b1 > b0 and (blocks > 0 or part > 0)").select("s", "shard", "blocks", "part", F.explode(F.sequence(F.col("b0"), F.col("b1") - 1)).alias("block"))
     order = Window.partitionBy("s", "shard").orderBy(F.xxhash64("s", "block", F.lit(seed)), "block")
-    chosen = own.withColumn("n", F.row_number().over(order)).where("n <= quota").select("s", "block")
+    chosen = own.withColumn("n", F.row_number().over(order)).where("n <= blocks or (n = blocks + 1 and part > 0)")
+    chosen = chosen.select("s", "block", F.when(F.col("n") <= F.col("blocks"), F.lit(block)).otherwise(F.col("part")).cast("long").alias("words"))
+    chosen = chosen.unionAll(quotas.where("last > 0").select("s", F.col("b1").alias("block"), F.col("last").alias("words")))
+    # the line of a source: shard after shard, in each by the seeded hash
     line = Window.partitionBy("s", "shard").orderBy("at", "d", "key", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = rows.join(quotas.select("s", "shard", "begin", "passes"), ["s", "shard"]).withColumn("end", F.col("begin") + F.sum("size").over(line))
-    placed = store(placed.withColumn("start", F.col("end") - F.col("size")), "mix-line")
+    placed = store(placed.withColumn("start", F.col("end") - F.col("size")).drop("quota"), "mix-line")
     bits = placed.where("size > 0").select("s", "start", "end", F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(end - 1) div {block}"))).alias("block"))
-    lo, hi = F.greatest(F.col("block") * block, F.col("start")) - F.col("start"), F.least((F.col("block") + 1) * block, F.col("end")) - F.col("start")
-    pieces = bits.join(chosen, ["s", "block"]).groupBy("s", "start").agg(F.array_sort(F.collect_list(F.struct(lo.alias("from"), hi.alias("to")))).alias("ranges"), F.sum(hi - lo).alias("extra"))
-    out = placed.where("size > 0").join(pieces, ["s", "start"], "left").unionByName(placed.where("size = 0"), allowMissingColumns=True)
+    lo, hi = F.greatest(F.col("block") * block, F.col("start")) - F.col("start"), F.least(F.col("block") * block + F.col("words"), F.col("end")) - F.col("start")
+    # the sides grow with the documents, which an estimate of compressed tables doesn't show: never broadcast
+    pieces = bits.join(chosen.hint("merge"), ["s", "block"]).where(lo < hi).groupBy("s", "start").agg(F.array_sort(F.collect_list(F.struct(lo.alias("from"), hi.alias("to")))).alias("ranges"), F.sum(hi - lo).alias("extra"))
+    out = placed.where("size > 0").join(pieces.hint("merge"), ["s", "start"], "left").unionByName(placed.where("size = 0"), allowMissingColumns=True)
     return out.select(real_id("d").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("passes") + F.coalesce("extra", F.lit(0))).alias("taken"), "passes", F.coalesce("ranges", F.array().cast("array<struct<from:bigint,to:bigint>>")).alias("ranges"), "key")
 
 
@@ -166,7 +222,7 @@ def mixed_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sou
     plan = taken.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias(d), F.col("key").alias(k), F.col("passes").alias(p), F.col("size").alias(z), F.col("ranges").alias(r))
     plan = plan.withColumn(n, at(p, z, r))
     own = docs.withColumn(d, F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)))
-    own = own.withColumn(k, F.xxhash64(d, F.coalesce(F.col(text).cast("string"), F.lit("")))).withColumn(n, at(F.lit(0)))
+    own = own.withColumn(k, F.xxhash64(d, F.coalesce(F.col(text).cast("string"), F.lit("")))).withColumn(n, at(F.xxhash64(*(F.col(c) for c in docs.columns))))
     rows = own.join(plan, [d, k, n]).select(*docs.columns, p, z, r)
     word, names = re.compile(r"[^\x20\x09-\x0D]+"), docs.columns
 
