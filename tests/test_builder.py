@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxloom.functions import text
-from voxloom.operators import relational
+from voxloom.operators import relational, waveform
 from voxloom.operators.waveform import resample_array
 from voxloom.plans import builder, providers
 from voxloom.sources import readers, writers
@@ -232,3 +232,20 @@ def test_stream(spark, folder, tmp_path):
     for _ in range(2):
         ingest.write_once(ingest.audio_stream(spark, folder).select("path", "length"), str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "o")).count() == 3
+
+
+def test_windows_of_a_stream(spark, tmp_path):
+    from datetime import datetime
+
+    rows = [(datetime(2024, 1, 1, m // 60, m % 60), float(m)) for m in (1, 30, 59, 61)]
+    spark.createDataFrame(rows, "ts timestamp, v double").write.json(str(tmp_path / "in"))
+    stream = spark.readStream.schema("ts timestamp, v double").json(str(tmp_path / "in"))
+    ingest.duration_windows(stream, "ts", "v").writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start().awaitTermination()
+    got = {(r.n, r.total) for r in spark.table("windows").collect()}
+    assert got == {(3, 90.0), (1, 61.0)}
+
+
+def test_resampling_a_table(spark):
+    df = spark.createDataFrame([("a", [0.0, 1.0, 0.0, -1.0] * 50, 8_000), ("b", None, 8_000)], "path string, samples array<float>, rate int")
+    got = {r.path: r for r in waveform.resample(df, 16_000).collect()}
+    assert len(got["a"].samples) == 400 and got["a"].rate == 16_000 and got["b"].samples is None
