@@ -154,10 +154,6 @@ def _met(percent: int):
     return run
 
 
-def _matrix(columns: list) -> np.ndarray:
-    return np.array(columns, dtype=np.int64).view(np.uint64).T
-
-
 def verify_by(alike: Callable):
     """Of pairs ``a``, ``b``, ``ca``, ``cb`` those whose contents are alike, a batch at a time in Python."""
 
@@ -176,8 +172,7 @@ def _apart(alike: Callable, bits: int):
     it is connected.  In a group of two tiles (i < j) only pairs across them are.
     """
 
-    def of(labels, tiles, contents, *fps, across):
-        f, tile = _matrix(fps), np.array(tiles)
+    def of(labels, tiles, contents, f, across):
         name = {x: i for i, x in enumerate(dict.fromkeys(labels))}
         own = np.array([name[x] for x in labels])
         parent = list(range(len(name)))
@@ -190,10 +185,11 @@ def _apart(alike: Callable, bits: int):
         for x in range(len(labels) - 1):
             near = (np.bitwise_count(f[x + 1 :] ^ f[x]).sum(axis=1) <= bits) & (own[x + 1 :] != own[x])
             if across:
-                near &= tile[x + 1 :] != tile[x]
+                near &= tiles[x + 1 :] != tiles[x]
             for y in (np.flatnonzero(near) + x + 1).tolist():
                 a, b = root(own[x]), root(own[y])
-                if a != b and alike(contents[x], contents[y]):
+                # a content leaves the batch only if its fingerprint is near another
+                if a != b and alike(contents[x].as_py(), contents[y].as_py()):
                     parent[a] = b
                     yield labels[x], labels[y]
 
@@ -202,20 +198,22 @@ def _apart(alike: Callable, bits: int):
         names = ("key", "i", "j", "label", "tile", "content", *FP)
         for batch in batches:
             table = pa.Table.from_batches([batch.select(names)])
-            held = table if held is None else pa.concat_tables([held, table])
+            held = (table if held is None else pa.concat_tables([held, table])).combine_chunks()
             ids = np.stack([held.column(c).to_numpy() for c in names[:3]])
             cuts = [0, *(np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1).tolist()]
-            yield from emit([held.slice(a, b - a) for a, b in zip(cuts, cuts[1:])])
+            yield from emit(held, cuts)
             held = held.slice(cuts[-1])
         if held is not None and held.num_rows:
-            yield from emit([held])
-
-    def emit(groups):
-        out = []
-        for g in groups:
-            if g.num_rows > 1:
-                columns = (g.column(c).to_pylist() for c in ("label", "tile", "content", *FP))
-                out += of(*columns, across=g.column("i")[0].as_py() != g.column("j")[0].as_py())
+            yield from emit(held, [0, held.num_rows])
+
+    def emit(table, cuts):
+        labels, tiles, i, j = (table.column(c).to_numpy() for c in ("label", "tile", "i", "j"))
+        f = np.stack([table.column(c).to_numpy() for c in FP], axis=1).view(np.uint64)
+        contents, out = table.column("content").combine_chunks(), []
+        contents = contents.chunk(0) if isinstance(contents, pa.ChunkedArray) and contents.num_chunks else contents
+        for a, b in zip(cuts, cuts[1:]):
+            if b - a > 1:
+                out += of(labels[a:b].tolist(), tiles[a:b], contents.slice(a, b - a), f[a:b], i[a] != j[a])
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
 
