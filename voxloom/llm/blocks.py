@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import drop, store
@@ -27,12 +27,16 @@ from .graph import components
 
 #: Nodes of a key that one task compares with one another, about.
 TILE = 512
+#: Buckets into which keys are dealt, at least; rows of a task that are packed at a time, and rows that are sorted together.
+BUCKETS, PACK, HELD = 4096, 1 << 20, 1 << 18
+#: Pairs of rows of groups that are looked at together, about, if not a group's own.
+PAIRS = 1 << 21
 #: Words of a plain fingerprint, and bits in which those of alike things may differ.
 WORDS, BITS = 2, 40
 FP = tuple(f"f{i}" for i in range(WORDS))
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-#: The bits of a byte as eight counters of a byte each.
-_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
+#: The lowest bit of each byte.
+_LOW = np.uint64(0x0101010101010101)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -42,6 +46,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def mix(h: np.ndarray) -> np.ndarray:
+    """Features spread so that the highest bits say the class."""
+    return h * _MIX[0]
+
+
 @dataclass(frozen=True)
 class Cut:
     """How fingerprints are cut: features of a class (about), blocks that a thing has at most, features that a block needs.
@@ -71,22 +80,25 @@ def levels(count: np.ndarray, cut: Cut) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def majority(h: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
-    """SimHashes of n slots, none of them empty: bit i is set where over half of the slot's hashes have it; h: hashes, slot: that of each."""
-    votes = np.bincount(slot, minlength=n)
-    parts, first = None, slot
-    if len(votes) and votes.max() > 255:  # more than a counter holds: a slot is counted in parts
-        order = np.argsort(slot, kind="stable")
-        h, slot = h[order], slot[order]
-        parts = (votes + 254) // 255
-        begin = np.cumsum(parts) - parts
-        first = begin[slot] + (np.arange(len(slot)) - (np.cumsum(votes) - votes)[slot]) // 255
-    own, m = h.view(np.uint8).reshape(-1, 8), n if parts is None else int(parts.sum())
-    sums = np.zeros((8, m), dtype=np.uint64)
-    for i in range(8):
-        np.add.at(sums[i], first, _LANES[own[:, i]])
-    ones = np.ascontiguousarray(sums.T).view(np.uint8).reshape(m, 64)
-    ones = ones.astype(np.uint16) if parts is None else np.add.reduceat(ones, begin, axis=0, dtype=np.uint32)
-    return np.packbits(2 * ones > votes[:, None], axis=1, bitorder="little").reshape(n, 8).view(np.uint64)[:, 0]
+    """SimHashes of n slots, none of them empty: bit i is set where over half of the slot's hashes have it; h: hashes, slot: that of each, in order."""
+    if not n:
+        return np.empty(0, dtype=np.uint64)
+    begin = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
+    votes = np.diff(np.append(begin, len(slot)))
+    # eight counters of a byte each: number i has bits i, i + 8, ...
+    def sums(starts):
+        return [np.add.reduceat((h >> np.uint64(i)) & _LOW, starts) for i in range(8)]
+
+    if votes.max() < 128:
+        # a counter's highest bit is set where over half are
+        short = (127 - votes // 2).astype(np.uint64) * _LOW
+        return sum(((x + short) >> np.uint64(7) & _LOW) << np.uint64(i) for i, x in enumerate(sums(begin)))
+    # more than a counter holds: a slot is counted in parts
+    parts = (votes + 254) // 255
+    first = np.cumsum(parts) - parts
+    ones = np.stack(sums(np.repeat(begin - 255 * first, parts) + 255 * np.arange(int(parts.sum()))), axis=1)
+    ones = np.add.reduceat(ones.view(np.uint8).reshape(-1, 8, 8).transpose(0, 2, 1).reshape(-1, 64), first, axis=0, dtype=np.uint32)
+    return np.packbits(2 * ones > votes[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
 def distinct(h: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,9 +124,14 @@ def block_keys(h: np.ndarray, owner: np.ndarray, level: np.ndarray, cut: Cut) ->
     A key holds the level, the class and the SimHash of its distinct features.
     """
     shift = (64 - level).astype(np.uint64)
-    kind = (h * _MIX[0] >> shift[owner]).view(np.int64)
+    kind = (mix(h) >> shift[owner]).view(np.int64)
     at = np.flatnonzero(kind < cut.blocks)
-    own, slot = distinct(h[at], owner[at] * cut.blocks + kind[at])
+    return class_keys(h[at], owner[at], kind[at], level, cut)
+
+
+def class_keys(h: np.ndarray, owner: np.ndarray, kind: np.ndarray, level: np.ndarray, cut: Cut) -> tuple[np.ndarray, np.ndarray]:
+    """The same of the features whose class (``kind``) is a block."""
+    own, slot = distinct(h, owner * cut.blocks + kind)
     taken = np.flatnonzero(np.bincount(slot, minlength=len(level) * cut.blocks) >= cut.least)
     number = np.full(len(level) * cut.blocks, -1)
     number[taken] = np.arange(len(taken))
@@ -154,6 +171,93 @@ def _met(percent: int):
     return run
 
 
+def buckets(spark: SparkSession) -> int:
+    """Ranges of hashes into which rows are dealt: sixteen or more for each shuffle partition, so that a task holds but a part of its rows."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return parts * max(16, -(-BUCKETS // parts))
+
+
+def packed(key: np.ndarray, columns: list[np.ndarray], n: int) -> list[pa.Array]:
+    """Rows as one for each bucket of their keys, which are hashes: its number, then its keys and the columns' values as bytes."""
+    order = np.argsort(key)
+    bucket = ((key[order] >> 32) + (1 << 31)) * n >> 32
+    ends = np.append(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(key))
+
+    def column(values):
+        offsets = (np.append(0, ends) * values.itemsize).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+    return [pa.array(bucket[ends - 1].astype(np.int32)), *(column(x[order]) for x in (key, *columns))]
+
+
+def unpacked(batches, kinds: dict):
+    """The columns (kinds: name to dtype) of packed rows sorted by bucket; whole buckets are taken up together until they have HELD rows."""
+
+    def of(held):
+        return [np.frombuffer(b"".join(x), dtype=t) for x, t in zip(zip(*held), kinds.values())]
+
+    held, n, last = [], 0, None
+    for batch in batches:
+        for bucket, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", *kinds))):
+            if bucket != last and n >= HELD:
+                yield of(held)
+                held, n = [], 0
+            last = bucket
+            held.append(row)
+            n += len(row[0]) // 8
+    if held:
+        yield of(held)
+
+
+def _packing(keys: Callable, n: int):
+    """The rows of (key, size, node) that keys makes, packed when they are PACK or so."""
+
+    def pack(held):
+        key, size, node = (np.concatenate(x) for x in zip(*held))
+        return pa.RecordBatch.from_arrays(packed(key, [size, node], n), ["bucket", "keys", "sizes", "nodes"])
+
+    def run(batches):
+        held, rows = [], 0
+        for batch in keys(batches):
+            if batch.num_rows:
+                held.append([np.asarray(batch.column(c)) for c in ("key", "size", "node")])
+                rows += batch.num_rows
+            if rows >= PACK:
+                yield pack(held)
+                held, rows = [], 0
+        if held:
+            yield pack(held)
+
+    return run
+
+
+def dealt(source: DataFrame, keys: Callable) -> DataFrame:
+    """Rows of (key, size, node) that keys makes of source's Arrow batches, packed by buckets: many times fewer rows to deal out and to sort."""
+    return source.mapInArrow(_packing(keys, buckets(source.sparkSession)), "bucket int, keys binary, sizes binary, nodes binary")
+
+
+def _met_packed(percent: int):
+    """``_met`` over packed rows sorted by bucket, less the nodes of which no other of the key is of like size."""
+    met = _met(percent)
+
+    def run(batches):
+        for key, size, node in unpacked(batches, {"keys": np.int64, "sizes": np.int32, "nodes": np.int64}):
+            order = np.argsort(key)
+            again = key[order[1:]] == key[order[:-1]]
+            # most keys have one row
+            at = order[np.append(again, False) | np.append(False, again)]
+            at = at[np.lexsort((node[at], size[at], key[at]))]
+            rows = [x[at] for x in (key, size, node)]
+            new = np.append(True, (rows[0][1:] != rows[0][:-1]) | (rows[2][1:] != rows[2][:-1]))[: len(at)]
+            key, size, node = (x[new] for x in rows)
+            # a node may be alike to one of its key only if it is of like size to its neighbour
+            near = (key[1:] == key[:-1]) & (size[:-1].astype(np.int64) * 100 >= size[1:].astype(np.int64) * percent)
+            at = np.flatnonzero(np.append(near, False) | np.append(False, near)) if len(key) else []
+            yield from met([pa.RecordBatch.from_arrays([pa.array(x[at]) for x in (key, size, node)], ["key", "size", "node"])])
+
+    return run
+
+
 def verify_by(alike: Callable):
     """Of pairs ``a``, ``b``, ``ca``, ``cb`` those whose contents are alike, a batch at a time in Python."""
 
@@ -165,57 +269,65 @@ def verify_by(alike: Callable):
     return lambda pairs: pairs.select("a", "b", "ca", "cb").mapInArrow(run, "a long, b long")
 
 
-def _apart(alike: Callable, bits: int):
-    """Over rows sorted by (key, i, j): verified links, as pairs of labels, that connect what a group holds of different ones.
+def _apart(alike: Callable, bits: int, percent: int):
+    """Over rows sorted by (key, i, j, size, node): verified links, as pairs of labels, that connect what a group holds of different ones.
 
-    Every pair of different labels whose fingerprints are near is compared until
-    it is connected.  In a group of two tiles (i < j) only pairs across them are.
+    Every pair of different labels whose sizes and fingerprints are near is compared until
+    it is connected.  In a group of two tiles (i < j) only pairs across them are.  Where a key is one
+    tile, neighbours of different labels have been compared before, in vain.
     """
+    names = ("key", "i", "j", "label", "tile", "tiles", "size", "content", *FP)
+
+    def near(ends, label, tile, tiles, size, across, f):
+        """Pairs of rows of a group, in order."""
+        found, live, d = [np.empty((2, 0), dtype=np.int64)], np.arange(len(label)), 0
+        while len(live := live[live + (d := d + 1) < ends[live]]):
+            x = live[(d > 1) | (tiles[live] > 1)]
+            x = x[(label[x] != label[x + d]) & (~across[x] | (tile[x] != tile[x + d]))]
+            y = x + d
+            x = x[(np.minimum(size[x], size[y]) * 100 >= np.maximum(size[x], size[y]) * percent) & (np.bitwise_count(f[x] ^ f[y]).sum(axis=1) <= bits)]
+            found.append(np.stack([x, x + d]))
+        pairs = np.concatenate(found, axis=1)
+        return pairs[:, np.lexsort((pairs[1], pairs[0]))]
 
-    def of(labels, tiles, contents, f, across):
-        name = {x: i for i, x in enumerate(dict.fromkeys(labels))}
-        own = np.array([name[x] for x in labels])
-        parent = list(range(len(name)))
+    def run(batches):
+        held, parent = None, {}
 
         def root(x):
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
+            while (up := parent.get(x, x)) != x:
+                parent[x] = x = parent.get(up, up)
             return x
 
-        for x in range(len(labels) - 1):
-            near = (np.bitwise_count(f[x + 1 :] ^ f[x]).sum(axis=1) <= bits) & (own[x + 1 :] != own[x])
-            if across:
-                near &= tiles[x + 1 :] != tiles[x]
-            for y in (np.flatnonzero(near) + x + 1).tolist():
-                a, b = root(own[x]), root(own[y])
-                # a content leaves the batch only if its fingerprint is near another
-                if a != b and alike(contents[x].as_py(), contents[y].as_py()):
-                    parent[a] = b
-                    yield labels[x], labels[y]
+        def links(table, cuts):
+            label, tile, tiles, size, i, j = (table.column(c).to_numpy() for c in ("label", "tile", "tiles", "size", "i", "j"))
+            f = np.stack([table.column(c).to_numpy() for c in FP], axis=1).view(np.uint64)
+            contents, out = table.column("content").combine_chunks(), []
+            contents = contents.chunk(0) if isinstance(contents, pa.ChunkedArray) and contents.num_chunks else contents
+            each = np.diff(cuts)
+            ends, size = np.repeat(cuts[1:], each), size.astype(np.int64)
+            # groups of so many pairs are gone through at a time
+            most = np.cumsum(each * each) // PAIRS
+            for a, b in zip(first := [0, *(np.flatnonzero(most[1:] != most[:-1]) + 1).tolist()], [*first[1:], len(each)]):
+                own = slice(cuts[a], cuts[b])
+                for x, y in (near(ends[own] - cuts[a], label[own], tile[own], tiles[own], size[own], i[own] != j[own], f[own]) + cuts[a]).T.tolist():
+                    p, q = label[x].item(), label[y].item()
+                    # a content leaves the batch only if its fingerprint is near another
+                    if root(p) != root(q) and alike(contents[x].as_py(), contents[y].as_py()):
+                        parent[root(p)] = root(q)
+                        out.append((p, q))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
 
-    def run(batches):
-        held = None
-        names = ("key", "i", "j", "label", "tile", "content", *FP)
         for batch in batches:
             table = pa.Table.from_batches([batch.select(names)])
             held = (table if held is None else pa.concat_tables([held, table])).combine_chunks()
             ids = np.stack([held.column(c).to_numpy() for c in names[:3]])
-            cuts = [0, *(np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1).tolist()]
-            yield from emit(held, cuts)
+            cuts = np.append(0, np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1)
+            if len(cuts) > 1:
+                yield from links(held.slice(0, cuts[-1]), cuts)
             held = held.slice(cuts[-1])
         if held is not None and held.num_rows:
-            yield from emit(held, [0, held.num_rows])
-
-    def emit(table, cuts):
-        labels, tiles, i, j = (table.column(c).to_numpy() for c in ("label", "tile", "i", "j"))
-        f = np.stack([table.column(c).to_numpy() for c in FP], axis=1).view(np.uint64)
-        contents, out = table.column("content").combine_chunks(), []
-        contents = contents.chunk(0) if isinstance(contents, pa.ChunkedArray) and contents.num_chunks else contents
-        for a, b in zip(cuts, cuts[1:]):
-            if b - a > 1:
-                out += of(labels[a:b].tolist(), tiles[a:b], contents.slice(a, b - a), f[a:b], i[a] != j[a])
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+            yield from links(held, np.array([0, held.num_rows]))
 
     return run
 
@@ -223,9 +335,9 @@ def _apart(alike: Callable, bits: int):
 def groups(rows: DataFrame, contents: Callable, alike: Callable, percent: int, label: str, verify: Callable | None = None, bits: int = BITS, tile: int = TILE) -> DataFrame:
     """``node``, ``component`` (smallest node reachable over verified links) of each node that has a link.
 
-    rows: ``key``, ``size`` (int), ``node``, which may repeat; two nodes are compared where they share a
+    rows: ``key`` (a hash), ``size`` (int), ``node``, which may repeat, or what ``dealt`` makes of such rows; two nodes are compared where they share a
     key and the smaller size is at least percent of the larger.  contents:
-    nodes (``node``) -> ``node``, ``content`` and FP (plain SimHash).  A link is one whose fingerprints
+    nodes (``node``) -> ``node``, ``content`` and FP (plain SimHash); a node may come more than once.  A link is one whose fingerprints
     differ in at most ``bits`` bits and whose contents are ``alike``; verify is the
     same over a table of pairs ``a``, ``b``, ``ca``, ``cb``.
 
@@ -236,8 +348,9 @@ def groups(rows: DataFrame, contents: Callable, alike: Callable, percent: int, l
     pairs of tiles to as many tasks, so none holds more than two tiles.  Links
     inside a key are never listed beyond those that connect.
     """
-    ordered = rows.repartition("key").sortWithinPartitions("key", "size", "node").select("key", "size", "node")
-    met = store(ordered.mapInArrow(_met(percent), "key long, size int, node long, before long"), f"{label}-met")
+    rows = rows if "bucket" in rows.columns else dealt(rows.select("key", "size", "node"), iter)
+    ordered = rows.repartition("bucket").sortWithinPartitions("bucket").select("bucket", "keys", "sizes", "nodes")
+    met = store(ordered.mapInArrow(_met_packed(percent), "key long, size int, node long, before long"), f"{label}-met")
     pairs = met.where("before is not null").select(F.least("before", "node").alias("a"), F.greatest("before", "node").alias("b")).distinct()
     held = store(contents(met.select("node").distinct()).select("node", "content", *FP), f"{label}-content")
     fps = [held.select(F.col("node").alias(x), *(F.col(f).alias(f + x) for f in FP)) for x in "ab"]
@@ -247,17 +360,17 @@ def groups(rows: DataFrame, contents: Callable, alike: Callable, percent: int, l
     first = store((verify or verify_by(alike))(near.join(ca, "a").join(cb, "b")).select("a", "b"), f"{label}-edges1")
     drop(near)
     joined = store(components(first, f"{label}1"), f"{label}-cc1")
-    marked = met.join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
+    marked = met.join(joined, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("label"))
     marked = store(marked, f"{label}-marked")
     apart = marked.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("n")).where("n > 2 and l0 <> l1")
     tiles = F.ceil(F.col("n") / tile).cast("int")
     rest = marked.join(apart.select("key", tiles.alias("tiles")), "key").withColumn("tile", F.pmod(F.xxhash64("node", F.lit(5)), F.col("tiles")).cast("int"))
-    rest = rest.select("key", "node", "label", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    rest = rest.select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "node", "label", "tile").join(held, "node")
+    rest = rest.select("key", "node", "size", "label", "tile", "tiles", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    rest = rest.select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "node", "size", "label", "tile", "tiles").join(held, "node")
     # the work is in the comparing, not in the bytes: no merging of small partitions
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rest = rest.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node").select("key", "i", "j", "label", "tile", "content", *FP)
-    second = store(rest.mapInArrow(_apart(alike, bits), "a long, b long"), f"{label}-edges2")
+    rest = rest.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "size", "node").select("key", "i", "j", "label", "tile", "tiles", "size", "content", *FP)
+    second = store(rest.mapInArrow(_apart(alike, bits, percent), "a long, b long"), f"{label}-edges2")
     # components of components: those that the second round joined
     over = components(second, f"{label}2").select(F.col("node").alias("of"), F.col("component").alias("top"))
     known = joined.join(over, joined["component"] == over["of"], "left").select("node", F.coalesce("top", "component").alias("component"))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import FP, Cut, block_keys, fingerprints, groups, levels
+from .blocks import FP, Cut, buckets, class_keys, dealt, fingerprints, groups, mix, packed, unpacked
 from .common import NULL_ID, drop, free_name, keyed, real_id, store
 
 #: Least edit similarity of linked lines, in percent.
@@ -33,17 +33,27 @@ GRAMS = {1: 3, 2: 3, 3: 4, 4: 5, 5: 7}
 LONG_GRAM = 8
 #: Bytes of a gram of the plain fingerprint.
 PLAIN_GRAM = 4
-#: Bytes of lines that are hashed at a time, and lines of which rows are made at a time.
-SLICE, ROWS = 1 << 17, 1 << 14
+#: Bytes of lines that are hashed at a time, and lines of a task that are packed at a time.
+SLICE, ROWS = 1 << 19, 1 << 19
 #: Parts into which the lines of a component are dealt.
 SALTS = 16
 #: Fixed by definition: A-Z to a-z, digits to 0, other ASCII but the line feed to a space.
 _NORMAL = bytes(b if b == 10 or b > 127 else ord("0") if 48 <= b <= 57 else b | 32 if chr(b).isalpha() else 32 for b in range(256))
 
 
+def split_lines(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """Normalised form of every line of the texts, blank ones as empty, and the number of each text's first."""
+    data = np.frombuffer(b"\n".join(texts).translate(_NORMAL), dtype=np.uint8)
+    space = data == 32
+    space[1:] &= space[:-1].copy()
+    space[:1] = False
+    lines = [x.strip(b" ") for x in data[~space].tobytes().split(b"\n")]
+    return lines, np.cumsum([0, *(t.count(b"\n") + 1 for t in texts)])[:-1]
+
+
 def normal_lines(text: bytes) -> list[tuple[int, bytes]]:
     """Number (from 0) and normalised form of each line that has any."""
-    return [(i, b" ".join(w)) for i, line in enumerate(text.translate(_NORMAL).split(b"\n")) if (w := line.split())]
+    return [(i, x) for i, x in enumerate(split_lines([text])[0]) if x]
 
 
 class _Grams:
@@ -52,56 +62,125 @@ class _Grams:
     def __init__(self, lines: list[bytes]):
         self.size = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines)) + 2
         self.begin = np.cumsum(self.size) - self.size
-        data = np.frombuffer(b" " + b"  ".join(lines) + bytes(10), dtype=np.uint8)
+        data = np.frombuffer(b" " + b"  ".join(lines) + b" " + bytes(10), dtype=np.uint8)
         # eight bytes from each place on
         self.window = np.ndarray((int(self.size.sum()),), dtype="<u8", buffer=data, strides=(1,))
 
-    def of(self, which: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
-        """Grams of some lines as numbers, and the place in which of each one's line."""
-        n = np.maximum(self.size[which] - gram + 1, 1)
-        place = np.repeat(self.begin[which] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-        return self.window[place] & np.uint64((1 << 8 * gram) - 1), np.repeat(np.arange(len(which)), n)
+    def all(self, gram: int) -> tuple[np.ndarray, np.ndarray]:
+        """Grams of all lines as numbers, and each one's line."""
+        n = np.maximum(self.size - gram + 1, 1)
+        place = np.repeat(self.begin - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        return self.window[place] & np.uint64((1 << 8 * gram) - 1), np.repeat(np.arange(len(n)), n)
+
+    def classed(self, low: int, high: int, gram: int, level: int, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Grams of lines low to before high whose class is one of so many blocks; each one's line, from low on, and class."""
+        begin, size = self.begin[low:high] - self.begin[low], self.size[low:high]
+        h = self.window[self.begin[low] : self.begin[low] + int(size.sum())] & np.uint64((1 << 8 * gram) - 1)
+        spread = mix(h)
+        at = np.flatnonzero(spread < np.uint64(blocks << 64 - level)) if blocks < 1 << level else np.arange(len(h))
+        owner = np.repeat(np.arange(high - low, dtype=np.int32), size)[at].astype(np.int64)
+        # a gram ends before its line does
+        whole = at - begin[owner] < np.maximum(size - gram + 1, 1)[owner]
+        at, owner = at[whole], owner[whole]
+        return h[at], owner, (spread[at] >> np.uint64(64 - level)).view(np.int64)
 
 
 def line_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Line (by number) and key of every block of the lines, none of them empty."""
-    grams, found = _Grams(lines), []
-    for which, level in levels(grams.size - 2, CUT):
-        gram = np.array([GRAMS.get(x, LONG_GRAM) for x in range(64)])[level]
-        for g in np.unique(gram).tolist():
-            for cut, own in ((CUT, (gram == g) & (level < LONG)), (LONG_CUT, (gram == g) & (level >= LONG))):
-                if own.any():
-                    at, key = block_keys(*grams.of(which[own], g), level[own], cut)
-                    found.append((which[own][at], key))
+    order = np.argsort(np.fromiter(map(len, lines), dtype=np.int64, count=len(lines)), kind="stable")
+    grams, found = _Grams([lines[i] for i in order.tolist()]), []
+    own, near = CUT.level(grams.size - 2), CUT.level((grams.size - 2) / CUT.alike)
+    # lines of a level and those of the level before that may be alike follow one another
+    near = np.minimum(near, own + 1)
+    for level in np.unique(np.append(own, near)).tolist():
+        cut, low, high = CUT if level < LONG else LONG_CUT, int(np.searchsorted(near, level)), int(np.searchsorted(own, level, side="right"))
+        if low < high:
+            at, key = class_keys(*grams.classed(low, high, GRAMS.get(level, LONG_GRAM), level, cut.blocks), np.full(high - low, level), cut)
+            found.append((order[low + at], key))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def line_fingerprints(lines: list[bytes]) -> list[np.ndarray]:
     """Plain SimHashes of the lines' grams, in words."""
-    return fingerprints(*_Grams(lines).of(np.arange(len(lines)), PLAIN_GRAM), len(lines))
+    return fingerprints(*_Grams(lines).all(PLAIN_GRAM), len(lines))
+
+
+def characters(lines: list[bytes]) -> np.ndarray:
+    """Characters of each line; what isn't UTF-8 counts as it is decoded."""
+    data = b"\n".join(lines)
+    try:
+        data.decode()
+    except UnicodeDecodeError:
+        return np.array([len(x.decode("utf-8", "replace")) for x in lines], dtype=np.int32)
+    end = np.cumsum(np.fromiter(map(len, lines), dtype=np.int64, count=len(lines)) + 1)
+    # all but the bytes that go on with a character
+    first = np.append(0, np.cumsum(np.frombuffer(data + b"\n", dtype=np.int8) >= -64))
+    return (np.diff(first[np.append(0, end)]) - 1).astype(np.int32)
 
 
 def _digests(lines: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, lines)), dtype=np.int64).reshape(-1, 2)
 
 
-def _line_rows(batches):
-    """A row for each line that isn't blank: its document and number, and the digest of its normalised form."""
-    for batch in batches:
-        docs, number, lines = [], [], []
+#: What a line is known by: the digest of its normalised form, its document and its number.
+_LINE = {"h1": np.int64, "h2": np.int64, "d": np.int64, "k": np.int64, "line": np.int32}
+
 
-        def rows():
-            h, take = _digests(lines), pa.array(docs, pa.int64())
-            return pa.RecordBatch.from_arrays([batch.column("_d").take(take), batch.column("_k").take(take), pa.array(number, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], ["d", "k", "line", "h1", "h2"])
+def _heads(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of lines (columns of _LINE) the first of each digest and the others, by number; those of a document that repeats are the first's own."""
+    order = np.argsort(rows[0])
+    again = rows[0][order[1:]] == rows[0][order[:-1]]
+    many = np.append(again, False) | np.append(False, again)
+    alone, many = order[~many[: len(order)]], order[many[: len(order)]]
+    many = many[np.lexsort([x[many] for x in rows[::-1]])]
+    own = np.stack([x[many].astype(np.int64) for x in rows])
+    begin = np.flatnonzero(np.append(True, (own[:2, 1:] != own[:2, :-1]).any(axis=0))[: len(many)])
+    head = np.repeat(begin, np.diff(np.append(begin, len(many))))
+    return np.append(alone, many[begin]), many[(own != own[:, head]).any(axis=0)]
 
-        for i, t in enumerate(batch.column("_t").to_pylist()):
-            for n, x in normal_lines(t):
-                docs.append(i), number.append(n), lines.append(x)
-            if len(lines) >= ROWS:
-                yield rows()
-                docs, number, lines = [], [], []
-        if lines:
-            yield rows()
+
+def _line_rows(n: int):
+    def pack(held):
+        """Of equal lines the first goes on, packed by its digest; the others are in a row of their own, of bucket -1."""
+        rows = [np.concatenate(x) for x in zip(*held)]
+        head, other = _heads(rows)
+        yield pa.RecordBatch.from_arrays(packed(rows[0][head], [x[head] for x in rows[1:]], n), ["bucket", *_LINE])
+        if len(other):
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), *(pa.array([x[other].tobytes()], pa.binary()) for x in rows)], ["bucket", *_LINE])
+
+    def run(batches):
+        """The lines that aren't blank, packed."""
+        held, count = [], 0
+        for batch in batches:
+            lines, first = split_lines(batch.column("_t").to_pylist())
+            at = np.array([i for i, x in enumerate(lines) if x], dtype=np.int64)
+            if len(at):
+                doc, h = np.searchsorted(first, at, side="right") - 1, _digests([lines[i] for i in at.tolist()])
+                held.append([h[:, 0], h[:, 1], np.asarray(batch.column("_d"))[doc], np.asarray(batch.column("_k"))[doc], (at - first[doc]).astype(np.int32)])
+                count += len(at)
+            if count >= ROWS:
+                yield from pack(held)
+                held, count = [], 0
+        if held:
+            yield from pack(held)
+
+    return run
+
+
+def _nodes(batches):
+    """Of packed lines sorted by bucket the first of each digest, and the others as ``again``."""
+    for rows in unpacked(batches, _LINE):
+        head, other = _heads(rows)
+        at = np.append(head, other)
+        again = np.arange(len(at)) >= len(head)
+        yield pa.RecordBatch.from_arrays([pa.array(rows[i][at]) for i in (0, 2, 3, 4)] + [pa.array(again)], ["node", "d", "k", "line", "again"])
+
+
+def _copies(batches):
+    """The lines of the rows of bucket -1."""
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("d", "k", "line"))):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, dtype=_LINE[c])) for c, x in zip(("d", "k", "line"), row)], ["d", "k", "line"])
 
 
 def _block_rows(min_words: int, min_chars: int):
@@ -110,21 +189,20 @@ def _block_rows(min_words: int, min_chars: int):
 
         def rows(lines):
             at, key = line_keys(lines)
-            size = np.fromiter((len(x) if x.isascii() else len(x.decode("utf-8", "replace")) for x in lines), dtype=np.int32, count=len(lines))
+            size = characters(lines)
             node = _digests(lines)[:, 0]
             return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(size[at]), pa.array(node[at])], ["key", "size", "node"])
 
         for batch in batches:
-            seen, lines, held = set(), [], 0
-            for t in batch.column("_t").to_pylist():
-                for _, x in normal_lines(t):
-                    if x in seen or (min_words > 1 and x.count(b" ") + 1 < min_words) or len(x) < min_chars:
-                        continue
-                    seen.add(x), lines.append(x)
-                    held += len(x)
-                    if held > SLICE:
-                        yield rows(lines)
-                        lines, held = [], 0
+            lines, held = [], 0
+            for x in dict.fromkeys(split_lines(batch.column("_t").to_pylist())[0]):
+                if not x or (min_words > 1 and x.count(b" ") + 1 < min_words) or len(x) < min_chars:
+                    continue
+                lines.append(x)
+                held += len(x)
+                if held > SLICE:
+                    yield rows(lines)
+                    lines, held = [], 0
             if lines:
                 yield rows(lines)
 
@@ -137,18 +215,22 @@ def _texts(batches):
     def rows(nodes, lines):
         return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([x.decode("utf-8", "replace") for x in lines], pa.string()), *map(pa.array, line_fingerprints(lines))], ["node", "content", *FP])
 
+    last = np.empty((2, 0), dtype=np.int64)
     for batch in batches:
-        nodes, lines, held = [], [], 0
-        for t, wanted in zip(batch.column("_t").to_pylist(), batch.column("wanted").to_pylist()):
-            own = dict(normal_lines(t))
-            for x in wanted:
-                nodes.append(x["node"]), lines.append(own[x["line"]])
-                held += len(lines[-1])
-                if held > SLICE:
-                    yield rows(nodes, lines)
-                    nodes, lines, held = [], [], 0
-        if lines:
-            yield rows(nodes, lines)
+        # a document that repeats the one before has been done
+        doc = np.concatenate([last, np.stack([np.asarray(batch.column(c)) for c in ("_d", "_k")])], axis=1)
+        new = np.append([True] * (not last.size), (doc[:, 1:] != doc[:, :-1]).any(axis=0))
+        batch, last = batch.filter(pa.array(new[: batch.num_rows].astype(bool))), doc[:, -1:]
+        texts = batch.column("_t").to_pylist()
+        own, first = b"\n".join(texts).split(b"\n"), np.cumsum([0, *(t.count(b"\n") + 1 for t in texts)])
+        wanted = batch.column("wanted")
+        row = np.repeat(np.arange(len(wanted)), np.asarray(wanted.value_lengths()))
+        wanted = wanted.flatten()
+        at, node = first[row] + np.asarray(wanted.field("line")), np.asarray(wanted.field("node"))
+        lines, _ = split_lines([own[i] for i in at.tolist()])
+        held = np.cumsum([len(x) for x in lines]) // SLICE
+        for part in np.split(np.arange(len(at)), np.flatnonzero(held[1:] != held[:-1]) + 1) if len(at) else ():
+            yield rows(node[part], lines[part[0] : part[-1] + 1])
 
 
 #: Characters that must be equal for two texts to be taken up again after a difference, and how far on they are looked for.
@@ -211,24 +293,32 @@ def within(a: str, b: str, most: int) -> bool:
     at: dict = {}
     for i, c in enumerate(a):
         at[c] = at.get(c, 0) | 1 << i
-    full, top, left = (1 << len(a)) - 1, 1 << len(a) - 1, len(b)
-    up, down, score = full, 0, len(a)
-    get = at.get
-    for c in b:
-        eq = get(c, 0)
-        x = (((eq & up) + up) ^ up) | eq
-        plus, minus = down | (full & ~(x | up)), up & x
-        if plus & top:
-            score += 1
-        elif minus & top:
-            score -= 1
-        left -= 1
-        if score - left > most:
+    m, n = len(a), len(b)
+    full, up, down, get = (1 << m) - 1, (1 << m) - 1, 0, at.get
+    # no column before this one can tell that too many edits are needed
+    step, begin = max(CHECK, m // 8), max(0, most - (n - m))
+    for done in range(begin, n + step, step):
+        for c in b[0 if done == begin else done - step : done]:
+            eq = get(c, 0)
+            x = (((eq & up) + up) ^ up) | eq
+            plus = (down | (x | up) & full ^ full) << 1 | 1
+            y = eq | down
+            up, down = ((up & x) << 1 | (y | plus) & full ^ full) & full, plus & y
+        if done < n and begin < done and _least(up, down, m, n, done) > most:
             return False
-        plus = plus << 1 | 1
-        y = eq | down
-        up, down = full & (minus << 1 | ~(y | plus)), plus & y & full
-    return score <= most
+    return n + up.bit_count() - down.bit_count() <= most
+
+
+#: Columns of a comparison after which its outcome is looked for, at least.
+CHECK = 32
+
+
+def _least(up: int, down: int, m: int, n: int, done: int) -> int:
+    """The least number of edits that a path through a column of the table of distances can need; up, down: where the column's values rise and fall."""
+    size = (m + 7) // 8
+    rise, fall = (np.unpackbits(np.frombuffer(x.to_bytes(size, "little"), dtype=np.uint8), bitorder="little", count=m).view(np.int8) for x in (up, down))
+    column = np.append(0, np.cumsum(rise - fall, dtype=np.int64))
+    return done + int((column + np.abs(m - n + done - np.arange(m + 1))).min())
 
 
 def alike(similarity: int):
@@ -237,25 +327,29 @@ def alike(similarity: int):
 
 def similar_lines(docs: DataFrame, similarity: int = SIMILARITY, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS) -> DataFrame:
     """``d``, ``k``, ``gone`` (numbers of lines) of keyed documents that lose lines."""
-    lines = store(docs.mapInArrow(_line_rows, "d long, k long, line int, h1 long, h2 long"), "lines")
-    nodes = store(lines.groupBy("h1", "h2").agg(F.min(F.struct("d", "k", "line")).alias("first"), F.count("*").alias("n")), "lines-node")
+    schema = "bucket int, h1 binary, h2 binary, d binary, k binary, line binary"
+    lines = store(docs.mapInArrow(_line_rows(buckets(docs.sparkSession)), schema), "lines")
+    ordered = lines.where("bucket >= 0").repartition("bucket").sortWithinPartitions("bucket").select("bucket", *_LINE)
+    every = store(ordered.mapInArrow(_nodes, "node long, d long, k long, line int, again boolean"), "lines-node")
+    nodes = every.where("not again").drop("again")
 
     def contents(wanted):
-        own = wanted.join(nodes.select(F.col("h1").alias("node"), "first"), "node")
-        own = own.groupBy(F.col("first.d").alias("d"), F.col("first.k").alias("k")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "node")).alias("wanted"))
-        texts = docs.join(own, (docs["_d"] == own["d"]) & (docs["_k"] == own["k"])).select("_t", "wanted")
-        return texts.mapInArrow(_texts, "node long, content string" + "".join(f", {f} long" for f in FP)).dropDuplicates(["node"])
+        own = wanted.join(nodes, "node").groupBy("d", "k").agg(F.collect_list(F.struct("line", "node")).alias("wanted"))
+        # merged, rows that repeat both id and text follow one another
+        texts = docs.join(own.hint("merge"), (docs["_d"] == own["d"]) & (docs["_k"] == own["k"])).select("_d", "_k", "_t", "wanted")
+        return texts.mapInArrow(_texts, "node long, content string" + "".join(f", {f} long" for f in FP))
 
-    rows = docs.mapInArrow(_block_rows(min_words, min_chars), "key long, size int, node long")
+    rows = dealt(docs.select("_t"), _block_rows(min_words, min_chars))
     group = groups(rows, contents, alike(similarity), similarity, "lines")
-    lead = nodes.join(group.select(F.col("node").alias("h1"), "component"), "h1", "left")
     # a component of any size is dealt out by a salt
-    lead = lead.where("component is not null or n > 1").withColumn("salt", F.pmod(F.xxhash64("h1", "h2"), F.lit(SALTS)).cast("int"))
-    top = lead.where("component is not null").groupBy("component").agg(F.min("first").alias("stays")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    marks = lead.join(top, ["component", "salt"], "left").select("h1", "h2", F.coalesce("stays", "first").alias("stays"))
-    gone = lines.join(marks, ["h1", "h2"]).where(F.struct("d", "k", "line") != F.col("stays"))
+    lead = nodes.join(group, "node").withColumn("salt", F.pmod(F.xxhash64("node", "d", "k", "line"), F.lit(SALTS)).cast("int"))
+    top = lead.groupBy("component").agg(F.min(F.struct("d", "k", "line")).alias("stays")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    gone = lead.join(top, ["component", "salt"]).where(F.struct("d", "k", "line") != F.col("stays")).select("d", "k", "line")
+    # a line that comes after an equal one is never the first of its component
+    gone = gone.unionAll(every.where("again").select("d", "k", "line"))
+    gone = gone.unionAll(lines.where("bucket < 0").select("d", "k", "line").mapInArrow(_copies, "d long, k long, line int"))
     out = store(gone.groupBy("d", "k").agg(F.collect_set("line").alias("gone")), "lines-gone")
-    for x in (lines, nodes, group):
+    for x in (lines, every, group):
         drop(x)
     return out
 

@@ -311,7 +311,7 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMIL
         found = source.join(at, (source["_d"] == at["d"]) & (source["_k"] == at["k"])).select("node", "_t")
         return found.mapInArrow(_sets(shingle), "node long, content binary" + "".join(f", {f} long" for f in blocks.FP)).dropDuplicates(["node"])
 
-    keys = source.mapInArrow(_block_rows(shingle), "key long, size int, node long")
+    keys = blocks.dealt(source, _block_rows(shingle))
     group = groups(keys, contents, alike(similarity), similarity, "similar", tile=TILE)
     return rows.join(group, "node", "left").select("d", "k", F.coalesce("component", "node").alias("component"))
 
