@@ -28,7 +28,7 @@ from .graph import components
 #: Nodes of a key that one task compares with one another, about.
 TILE = 512
 #: Buckets into which keys are dealt, at least; rows of a task that are packed at a time, and rows that are sorted together.
-BUCKETS, PACK, HELD = 4096, 1 << 20, 1 << 18
+BUCKETS, PACK, HELD = 4096, 1 << 17, 1 << 17
 #: Pairs of rows of groups that are looked at together, about, if not a group's own.
 PAIRS = 1 << 21
 #: Words of a plain fingerprint, and bits in which those of alike things may differ.

@@ -34,7 +34,7 @@ LONG_GRAM = 8
 #: Bytes of a gram of the plain fingerprint.
 PLAIN_GRAM = 4
 #: Bytes of lines that are hashed at a time, and lines of a task that are packed at a time.
-SLICE, ROWS = 1 << 19, 1 << 19
+SLICE, ROWS = 1 << 18, 1 << 17
 #: Parts into which the lines of a component are dealt.
 SALTS = 16
 #: Fixed by definition: A-Z to a-z, digits to 0, other ASCII but the line feed to a space.
