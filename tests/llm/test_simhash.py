@@ -3,7 +3,7 @@ import random
 import numpy as np
 import xxhash
 
-from voxloom.llm import simhash
+from voxloom.llm import graph, simhash
 from voxloom.llm.graph import components
 
 from .conftest import order
@@ -126,3 +126,29 @@ def test_components_of_a_long_chain(spark):
     edges = spark.range(0, 300).selectExpr("id as a", "id + 1 as b")
     found = {r.node: r.component for r in components(edges).collect()}
     assert found == dict.fromkeys(range(301), 0)
+
+
+def test_a_small_graph_takes_no_rounds(spark, monkeypatch):
+    """Where the links are few no round is gone through; both ways give the same components."""
+    r = random.Random(3)
+    links = [(r.randrange(-400, 400), r.randrange(-400, 400)) for _ in range(450)] + [(7, 7), (1000, 1000), (-(1 << 63), 2000), (3000, 2000)]
+    links += [(5000, 5001 + i) for i in range(300)] + [(6000 + i, 6001 + i) for i in range(50, 0, -1)]
+    edges = spark.createDataFrame(r.sample(links, len(links)) + links[:20], "a long, b long").repartition(7)
+    rounds, large_star = [], graph._large_star
+    monkeypatch.setattr(graph, "_large_star", lambda e: rounds.append(1) or large_star(e))
+    few = sorted(map(tuple, components(edges).collect()))
+    assert not rounds
+    monkeypatch.setattr(graph, "SETTLED", len(links) // 2)
+    assert sorted(map(tuple, components(edges).collect())) == few and rounds
+    least = {x: x for e in links if e[0] != e[1] for x in e}
+    for _ in least:
+        for x, y in links:
+            if x != y:
+                least[x] = least[y] = min(least[x], least[y])
+    assert few == sorted(least.items())
+    assert components(edges.limit(0)).count() == 0
+
+
+def test_rounds_of_a_long_chain(spark, monkeypatch):
+    monkeypatch.setattr(graph, "SETTLED", 10)
+    test_components_of_a_long_chain(spark)
